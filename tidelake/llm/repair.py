@@ -121,6 +121,10 @@ def write_shard(doc_ids: list, ids: list[bytes], vocabulary: int, end_id: int, r
     return head + b"".join(p.tobytes() for p in parts)
 
 
+def symbols_in(payload: bytes) -> int:
+    return _HEADER.unpack_from(payload)[5]
+
+
 class Shard:
     """Random access to a shard's documents."""
 
@@ -175,8 +179,7 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0,
 
         def flush() -> pa.RecordBatch:
             payload = write_shard(doc_ids, ids, vocabulary, end_id)
-            n_symbols = _HEADER.unpack_from(payload)[5]
-            row = [part, shard, len(ids), held, n_symbols, payload]
+            row = [part, shard, len(ids), held, symbols_in(payload), payload]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             names = [x.split()[0] for x in SHARD_SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
