@@ -7,17 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import chat, packing, repair, warc
+from tidelake.llm import chat, packing, quality, repair, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "</s>[INST] ok [/INST]"
@@ -78,7 +86,9 @@ ORACLE: dict[str, str] = {
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
         "op2_packing": op2_packing,
+        "op4_simhash": op4_simhash,
         "op8_chat_formatting": op8_chat_formatting,
         "op9_token_output": op9_token_output,
         "op10_warc": op10_warc,
