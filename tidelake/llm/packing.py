@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tidelake.llm._common import WORD_BPE, as_bytes, in_blocks, tokenizer_path
-from tidelake.llm.tokenize import Encoder
+from tidelake.llm.tokenize import encoder
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -137,12 +137,12 @@ def pack(
     path = tokenizer or tokenizer_path(WORD_BPE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, spaces=False)
+        words = encoder(path, spaces=False)
         end = int(end_id).to_bytes(4, "little")
         packer = _Packer(capacity, grain, group, slack, TaskContext.get().partitionId() << 32)
         for batch in in_blocks(batches, "text", 8 << 20):
             for doc, text in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text"))):
-                packer.add(doc, encoder.encode(text) + end)
+                packer.add(doc, words.encode(text) + end)
                 if len(packer.out) >= 50_000:
                     yield packer.take()
         if packer.rests:

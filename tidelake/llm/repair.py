@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.llm._common import BYTE_BPE, as_bytes, in_blocks, materialise, tokenizer_path
-from tidelake.llm.tokenize import Encoder
+from tidelake.llm.tokenize import encoder
 
 _HEADER = struct.Struct("<4sHHIIIQI")
 SHARD_SCHEMA = "part int, shard int, n_docs long, n_tokens long, n_symbols long, payload binary"
@@ -49,11 +49,16 @@ def replace_pairs(symbols: np.ndarray, first_rule: int, room: int, rounds: int,
     made = 0
     closes = np.zeros(first_rule, bool)
     closes[0] = True
+    small = first_rule + room <= 65536
+    kind = np.uint32 if small else np.uint64
+    shift, factor = (kind(14), kind(0x9E3779B1)) if small else (kind(46), kind(0x9E3779B97F4A7C15))
+    slot = lambda c: (c * factor) >> shift
     for _ in range(rounds):
         if len(symbols) < 2 or made >= room:
             break
-        codes = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        open_ = ~closes[symbols[:-1]]
+        left, right = symbols[:-1], symbols[1:]
+        codes = (left << kind(16)) | right if small else (left.astype(kind) << kind(32)) | right
+        open_ = ~closes[left]
         ordered = np.sort(codes[open_])
         if not len(ordered):
             break
@@ -63,26 +68,25 @@ def replace_pairs(symbols: np.ndarray, first_rule: int, room: int, rounds: int,
         good = np.flatnonzero(uses >= least)
         if not len(good):
             break
-        if len(good) > room - made:
-            good = np.sort(good[np.argsort(-uses[good], kind="stable")[: room - made]])
+        # rules by hash slot, the commoner pair where two share one; the other waits for the next round
+        good = good[np.argsort(uses[good], kind="stable")][-(room - made) :]
         wanted, rank = ordered[starts[good]], uses[good]
-        # a small table of hashes drops most positions before the exact search
-        mix = lambda c: ((c * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
-        flags = np.zeros(1 << 18, bool)
-        flags[mix(wanted)] = True
-        at = np.flatnonzero(flags[mix(codes)] & open_)
-        found = np.searchsorted(wanted, codes[at])
-        found[found == len(wanted)] = 0
+        table = np.full(1 << 18, -1, np.int32)
+        table[slot(wanted)] = np.arange(len(wanted), dtype=np.int32)
+        found = table[slot(codes)]
+        at = np.flatnonzero((found >= 0) & open_)
+        found = found[at]
         hit = wanted[found] == codes[at]
         at, found = at[hit], found[hit]
         # of overlapping pairs the one with more uses goes first; the others wait for the next round
-        weight = np.zeros(len(symbols) + 1, np.int64)
+        weight = np.zeros(len(symbols) + 1, np.int32)
         weight[at + 1] = rank[found]
         chosen = (weight[at + 1] > weight[at]) & (weight[at + 1] >= np.append(weight, 0)[at + 2])
         at, found = at[chosen], found[chosen]
         used, renumbered = np.unique(found, return_inverse=True)
         pairs = wanted[used]
-        rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        half = kind(16 if small else 32)
+        rules.append(np.stack([pairs >> half, pairs & ((kind(1) << half) - kind(1))], 1).astype(np.uint32))
         closes = np.concatenate([closes, closes[rules[-1][:, 1]]])
         symbols = symbols.copy()
         symbols[at] = first_rule + made + renumbered
@@ -93,7 +97,7 @@ def replace_pairs(symbols: np.ndarray, first_rule: int, room: int, rounds: int,
     return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), closes
 
 
-def write_shard(doc_ids: list, ids: list[bytes], vocabulary: int, end_id: int, rounds: int = 6, least: int = 12) -> bytes:
+def write_shard(doc_ids: list, ids: list[bytes], vocabulary: int, end_id: int, rounds: int = 5, least: int = 16) -> bytes:
     """The bytes of one shard; ids: each document's ids without the end id, as little-endian uint32."""
     end = (0xFFFFFFFF).to_bytes(4, "little")
     symbols = np.frombuffer(end.join(ids) + end, "<u4") + np.uint32(1)  # the end wraps to symbol 0
@@ -173,7 +177,7 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0,
     path = tokenizer or tokenizer_path(BYTE_BPE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, spaces=True)
+        words = encoder(path, spaces=True)
         part = TaskContext.get().partitionId()
         doc_ids, ids, held, shard = [], [], 0, 0
 
@@ -186,7 +190,7 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0,
 
         for batch in in_blocks(batches, "text", 8 << 20):
             for doc, text in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text"))):
-                got = encoder.encode(text)
+                got = words.encode(text)
                 doc_ids.append(doc)
                 ids.append(got)
                 held += len(got) // 4 + 1

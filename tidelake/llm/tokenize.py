@@ -1,9 +1,10 @@
 """Whole-text encoding with a public vocabulary through the ``tokenizers`` library.
 
-Both vocabularies cut a text before the merges at white space and where letters meet punctuation, so a text's ids are the ids of its
-units in a row. Distinct units are encoded by the library once per worker and kept; all other work is
-a dictionary lookup. Texts with white space outside ASCII, where engines differ on what a space is,
-go through the library whole.
+Both vocabularies cut a text before the merges at white space and where letters meet punctuation, so a
+text's ids are the ids of its units in a row. A unit is a word with the white space before it. Distinct
+units are encoded by the library once per worker process and kept, in two generations of bounded size;
+all other work is a dictionary lookup. The new units of a text go through the library in one call. Texts with white space outside ASCII, where engines differ on what a
+space is, go through the library whole.
 """
 
 from __future__ import annotations
@@ -11,49 +12,111 @@ from __future__ import annotations
 import re
 import struct
 
+import numpy as np
+
 #: UTF-8 forms of characters that some engine counts as white space, ASCII space aside.
 _ODD = re.compile(
     rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81[\x9f-\xaf]|\xe3\x80\x80|\xef\xbb\xbf"
 )
-#: A Latin letter, ASCII punctuation without the apostrophe (which may open a contraction), white space.
+#: A run of Latin letters, ASCII punctuation without the apostrophe (which may open a contraction), white space.
 _L = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"
 _P = rb"[!-&(-/:-@\[-`{-~]"
 _W = rb"[ \t-\r]"
 #: Pre-tokens end where letters meet such punctuation; else a unit runs to the next white space.
-_UNITS = {
-    spaces: re.compile(b"%b%b(?=%b|%b|\\Z)|%b%b+(?=%b|%b|\\Z)|%b[^ \\t-\\r]+%b" % (w, _L, _P, _W, w, _P, _L, _W, w, last))
-    for spaces, w, last in ((True, _W + b"*", b"|" + _W + b"+"), (False, b"", b""))
-}
+_PARTS = re.compile(b"%b*%b(?=%b|%b|\\Z)|%b*%b+(?=%b|%b|\\Z)|%b*[^ \\t-\\r]+|%b+" % (_W, _L, _P, _W, _W, _P, _L, _W, _W, _W))
+#: White space that is not one space or one line feed between words.
+_LOOSE = (b"  ", b" \n", b"\n ", b"\n\n", b"\t", b"\r", b"\x0b", b"\x0c")
+#: Bytes without which a text has nothing odd.
+_LEADS = (b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2", b"\xe1", b"\xe2", b"\xe3", b"\xef")
+
+
+def _odd(text: bytes) -> bool:
+    leads = _LEADS[:4] if text.isascii() else _LEADS
+    return any(x in text for x in leads) and _ODD.search(text) is not None
+
+
+def whole(tokenizer, text: bytes) -> bytes:
+    ids = tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Units(dict):
+    """Units that have been encoded, in two generations of at most `keep`; `lead` is put before each."""
+
+    def __init__(self, tokenizer, lead: bytes, keep: int):
+        super().__init__()
+        self.tokenizer, self.lead, self.keep, self.old = tokenizer, lead, keep, {}
+
+    def store(self, unit: bytes, ids: bytes) -> None:
+        if len(self) >= self.keep:
+            self.old = dict(self)
+            self.clear()
+        self[unit] = ids
+
+    def learn(self, units: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of units that are not held, by one call of the library for all that are new."""
+        found = {u: self.old[u] for u in units if u in self.old}
+        new = [u for u in units if u not in found]
+        if not self.lead:  # not cut at white space, so one by one
+            found.update((u, whole(self.tokenizer, u)) for u in new)
+        elif new:
+            texts = [(u if u[:1] == b"\n" else self.lead + u).decode("utf-8", "replace") for u in new]
+            got = self.tokenizer.encode("".join(texts), add_special_tokens=False)
+            # a unit's ids are those whose characters start in it
+            starts = np.cumsum([0, *map(len, texts)])
+            cut = (4 * np.searchsorted(np.array([a for a, _ in got.offsets], np.int64), starts)).tolist()
+            ids = struct.pack(f"<{len(got.ids)}I", *got.ids)
+            found.update((u, ids[cut[i] : cut[i + 1]]) for i, u in enumerate(new))
+        for u, x in found.items():
+            self.store(u, x)
+        return found
+
+    def encode(self, units: list[bytes]) -> bytes:
+        got = list(map(self.get, units))
+        if None in got:
+            holes = [i for i, x in enumerate(got) if x is None]
+            found = self.learn({units[i] for i in holes})
+            for i in holes:
+                got[i] = found[units[i]]
+        return b"".join(got)
 
 
-class Encoder(dict):
+class Encoder:
     """bytes of a text -> its ids as little-endian unsigned 32-bit integers.
 
     `spaces`: True where white space belongs to the unit after it (byte-level vocabularies), False
-    where it is dropped. `keep` bounds the units kept.
+    where it is dropped. `keep` bounds the units kept in a generation.
     """
 
-    def __init__(self, path: str, spaces: bool, keep: int = 1_200_000):
+    def __init__(self, path: str, spaces: bool, keep: int = 500_000):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cut = _UNITS[spaces].findall
-        self.keep = keep
-
-    def __missing__(self, unit: bytes) -> bytes:
-        if len(self) >= self.keep:
-            self.clear()
-        ids = self.whole(unit)
-        self[unit] = ids
-        return ids
+        self.spaces = spaces
+        self.spaced = _Units(self.tokenizer, b" ", keep)
+        self.exact = _Units(self.tokenizer, b"", keep // 8)
 
     def whole(self, text: bytes) -> bytes:
-        ids = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return whole(self.tokenizer, text)
 
     def encode(self, text: bytes) -> bytes:
-        if _ODD.search(text):
+        if _odd(text):
             return self.whole(text)
-        return b"".join(map(self.__getitem__, self.cut(text)))
+        if not self.spaces:
+            return self.spaced.encode(text.split())
+        if text[:1].isspace() or text[-1:].isspace() or any(x in text for x in _LOOSE):
+            return self.exact.encode(_PARTS.findall(text))
+        units = text.replace(b"\n", b" \n").split(b" ")
+        return (self.exact.encode(units[:1]) if text else b"") + self.spaced.encode(units[1:])
+
+
+_KEPT: dict[tuple[str, bool], Encoder] = {}
+
+
+def encoder(path: str, spaces: bool) -> Encoder:
+    """This worker process's encoder; what it has kept serves later tasks too."""
+    if (path, spaces) not in _KEPT:
+        _KEPT.clear()
+        _KEPT[path, spaces] = Encoder(path, spaces)
+    return _KEPT[path, spaces]
