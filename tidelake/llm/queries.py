@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import chat, packing, quality, repair, simhash, warc
+from tidelake.llm import chat, lzprint, packing, quality, repair, simhash, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,10 +22,18 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.measure(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lzprint.with_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "</s>[INST] ok [/INST]"
@@ -88,7 +96,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_packing": op2_packing,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_simhash": op4_simhash,
+        "op6_lz_fingerprint": op6_lz_fingerprint,
         "op8_chat_formatting": op8_chat_formatting,
         "op9_token_output": op9_token_output,
         "op10_warc": op10_warc,
