@@ -94,6 +94,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaces = spaces
+        normalizer = self.tokenizer.normalizer
+        self.lowers = normalizer is not None and normalizer.normalize_str("ABYZ") == "abyz"
         self.spaced = _Units(self.tokenizer, b" ", keep)
         self.exact = _Units(self.tokenizer, b"", keep // 8)
 
@@ -104,7 +106,8 @@ class Encoder:
         if _odd(text):
             return self.whole(text)
         if not self.spaces:
-            return self.spaced.encode(text.split())
+            # such a vocabulary is one of lower case: the library would lower the letters in any case
+            return self.spaced.encode((text.lower() if self.lowers else text).split())
         if text[:1].isspace() or text[-1:].isspace() or any(x in text for x in _LOOSE):
             return self.exact.encode(_PARTS.findall(text))
         units = text.replace(b"\n", b" \n").split(b" ")
