@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import chat, lzprint, packing, quality, repair, simhash, suffix_dedup, warc
+from tidelake.llm import chat, decontam, lzprint, packing, quality, repair, simhash, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lzprint.with_neighbours(table(spark, sf_dir, "documents"))
 
@@ -98,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_packing": op2_packing,
         "op3_suffix_dedup": op3_suffix_dedup,
         "op4_simhash": op4_simhash,
+        "op5_decontamination": op5_decontamination,
         "op6_lz_fingerprint": op6_lz_fingerprint,
         "op8_chat_formatting": op8_chat_formatting,
         "op9_token_output": op9_token_output,
