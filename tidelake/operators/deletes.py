@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 if TYPE_CHECKING:
@@ -17,10 +18,18 @@ MOST_BROADCAST = 500_000
 MOST_LINKS = 10_000
 
 
-def uri(spark, path: str) -> str:
-    """A path as Spark's file metadata shows it."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toUri().toString()
+def shown(spark: SparkSession, rows: DataFrame) -> Callable[[str], str]:
+    """How Spark's file metadata shows the path of a file that `rows` reads."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    plain = lambda uri: re.sub(r"^([A-Za-z0-9+.-]+):/+", r"\1:/", uri)
+    by = {plain(f): f for f in rows.inputFiles()}
+
+    def find(path: str) -> str:
+        p = hadoop(path)
+        found = by[plain(p.getFileSystem(conf).makeQualified(p).toUri().toString())]
+        return re.sub(r"^([A-Za-z0-9+.-]+):///", r"\1:/", found)  # where there is no host, metadata have one slash
+
+    return find
 
 
 def without_deleted(rows: DataFrame, group: Group, resolve: Callable[[str, bool], str], options: dict[str, str]) -> DataFrame:
@@ -30,21 +39,17 @@ def without_deleted(rows: DataFrame, group: Group, resolve: Callable[[str, bool]
     be pushed below the join.
     """
     spark = rows.sparkSession
-    links, places, known = [], [], 0
-    for f in group.files:
-        data = uri(spark, resolve(f.path, f.relative))
-        for d in f.deletes:
-            path = resolve(d.path, d.relative)
-            links.append((uri(spark, path), data))
-            places.append(path)
-            known = None if known is None or d.count is None else known + d.count
-    deleted = spark.read.options(**options).option("recursiveFileLookup", "true").schema("file_path string, pos long").parquet(*dict.fromkeys(places))
+    pairs = [(resolve(d.path, d.relative), resolve(f.path, f.relative)) for f in group.files for d in f.deletes]
+    counts = [d.count for f in group.files for d in f.deletes]
+    deleted = spark.read.options(**options).option("recursiveFileLookup", "true").schema("file_path string, pos long").parquet(*dict.fromkeys(d for d, _ in pairs))
+    delete_file, data_file = shown(spark, deleted), shown(spark, rows)
+    links = [(delete_file(d), data_file(f)) for d, f in pairs]
     deleted = deleted.select(F.col("_metadata.file_path").alias("__delete_file"), "pos")
     link = spark.createDataFrame(links, "__delete_file string, __file string")
     if len(links) <= MOST_LINKS:
         link = F.broadcast(link)
     deleted = deleted.join(link, "__delete_file").select("__file", F.col("pos").alias("__row"))
-    if known is not None and known <= MOST_BROADCAST:
+    if None not in counts and sum(counts) <= MOST_BROADCAST:
         deleted = F.broadcast(deleted)
     names = rows.columns
     numbered = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
