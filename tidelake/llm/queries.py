@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import chat, decontam, lzprint, packing, quality, repair, simhash, suffix_dedup, warc
+from tidelake.llm import chat, decontam, lm, lzprint, packing, quality, repair, simhash, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op6_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lzprint.with_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "</s>[INST] ok [/INST]"
@@ -104,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_simhash": op4_simhash,
         "op5_decontamination": op5_decontamination,
         "op6_lz_fingerprint": op6_lz_fingerprint,
+        "op7_lm_scoring": op7_lm_scoring,
         "op8_chat_formatting": op8_chat_formatting,
         "op9_token_output": op9_token_output,
         "op10_warc": op10_warc,
