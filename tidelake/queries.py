@@ -582,12 +582,11 @@ def compose_top_k(spark, sf_dir):
 def source_format(spark, sf_dir):
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     register(spark)
-    df = spark.read.format("tidelake").option("catalog", versions(spark, sf_dir).catalog).option("table", "orders").load()
+    df = spark.read.format("tidelake").option("catalog", versions(spark, sf_dir).catalog).options(table="orders", prune="true").load()
     return df.where("o_orderkey > 500").select("o_orderkey", "o_orderstatus")
 
 
 @query("source_format_deletes", "SELECT * FROM lineitem WHERE NOT (l_orderkey % 7 = 0) AND NOT (l_orderkey % 2 = 1 AND l_orderkey % 5 = 0)")
 def source_format_deletes(spark, sf_dir):
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     register(spark)
     return spark.read.format("tidelake").options(catalog=deleted(spark, sf_dir).catalog, table="lineitem", snapshot_id="2").load()

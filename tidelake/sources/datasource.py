@@ -1,8 +1,10 @@
-"""``spark.read.format("tidelake")``: the lazy surface, for conditions that are added after the read.
+"""``spark.read.format("tidelake")``: the lazy surface.
 
-Options: catalog, table, and as wanted schema, snapshot_id, as_of, data_path. Filters that Spark pushes prune
-files (set ``spark.sql.python.filterPushdown.enabled``); rows come through Arrow, so `tidelake.scan` is the
-faster way where the condition is known. Scalar and nested columns of unchanged shape are supported.
+Options: catalog, table, and as wanted schema, snapshot_id, as_of, data_path, prune. Rows come through Arrow,
+so `tidelake.scan` is the faster way. With ``prune`` set to true, filters that Spark pushes rule out files
+(``spark.sql.python.filterPushdown.enabled`` is needed too); Spark keeps a source's pushed filters for
+all uses of one loaded frame, so set it only where a frame is used with one condition. Scalar and nested
+columns of unchanged shape are supported.
 """
 
 from __future__ import annotations
@@ -42,7 +44,8 @@ class LakeSource(DataSource):
 
     def reader(self, schema: StructType) -> DataSourceReader:
         identity, base = self._identity()
-        return LakeReader(self.options["catalog"], identity, base, schema)
+        kind = PruningReader if self.options.get("prune", "").lower() == "true" else LakeReader
+        return kind(self.options["catalog"], identity, base, schema)
 
 
 _NAMES = {"EqualTo": "eq", "LessThan": "lt", "LessThanOrEqual": "le", "GreaterThan": "gt", "GreaterThanOrEqual": "ge", "In": "in", "IsNull": "null", "IsNotNull": "notnull", "StringStartsWith": "starts"}
@@ -63,10 +66,6 @@ class LakeReader(DataSourceReader):
         self.catalog, self.identity, self.base, self.table_schema = catalog, identity, base, schema
         self.clauses: list[tuple | None] = []
 
-    def pushFilters(self, filters: list) -> list:
-        self.clauses = [_clause(f) for f in filters]
-        return filters  # all are applied to rows again
-
     def partitions(self) -> list[InputPartition]:
         with Catalog(self.catalog) as c:
             files, _ = layout.candidates(c, self.identity, self.clauses)
@@ -111,6 +110,12 @@ class LakeReader(DataSourceReader):
             yield from pa.table(columns, schema=wanted).to_batches()
 
 
+class PruningReader(LakeReader):
+    def pushFilters(self, filters: list) -> list:
+        self.clauses = [_clause(f) for f in filters]
+        return filters  # all are applied to rows again
+
+
 def _open(pq: Any, path: str) -> Any:
     from pyarrow import fs
 
