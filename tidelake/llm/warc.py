@@ -100,7 +100,7 @@ def record_chunks(page: int | None, url: str | None, payload: memoryview, target
         f"WARC-Type: {'response' if target is None else 'revisit'}",
         f"WARC-Record-ID: {_name(page)}",
         f"WARC-Date: {date}",
-        f"Content-Type: application/http; msgtype=response",
+        "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(_HTTP) + len(body)}",
         f"WARC-Block-Digest: sha1:{_base32(block.digest())}",
         f"WARC-Payload-Digest: sha1:{_base32(whole.digest())}",
@@ -126,11 +126,17 @@ class _Reader:
     """Folds a record's chunks, one at a time; holds the header and the digest, not the payload."""
 
     def __init__(self):
-        self.key = None
+        self.key, self.open = None, False
+
+    def end(self) -> None:
+        if self.open:
+            raise ValueError(f"record {self.key}: chunks are missing, the last one is wrong")
 
     def feed(self, key: tuple[int, int], chunk: int, last: bool, running: bytes, data: bytes) -> tuple | None:
         view = memoryview(data)
         if chunk == 0:
+            self.end()
+            self.open = True
             head, _, rest = data.partition(b"\r\n\r\n")
             lines = head.decode().split("\r\n")
             if lines[0] != "WARC/1.1":
@@ -156,6 +162,7 @@ class _Reader:
             raise ValueError(f"record {key}: chunk {chunk} does not match its running digest")
         if not last:
             return None
+        self.open = False
         kind, named = self.fields["WARC-Type"], self.fields["WARC-Payload-Digest"].removeprefix("sha1:")
         if self.left or bytes(view[len(body) :]) != b"\r\n\r\n" or _base32(self.block.digest()) != self.fields["WARC-Block-Digest"].removeprefix("sha1:"):
             raise ValueError(f"record {key}: length or block digest is wrong")
@@ -185,6 +192,7 @@ def read_archives(chunks: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
             names = [x.split()[0] for x in SCHEMA.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], k) for j, k in enumerate(kinds)], names=names)
+        reader.end()
 
     single = chunks.where("chunk = 0 and last").mapInArrow(run, SCHEMA)
     large = chunks.where("not (chunk = 0 and last)").repartition("archive", "record")
