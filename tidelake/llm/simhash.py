@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import as_bytes, in_blocks, materialise
+from tidelake.llm._common import as_bytes, bounded_batches, in_blocks, materialise
 from tidelake.llm.components import connected_components
 
 #: Bits of each of the six groups.
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
             found = np.array([fingerprint(x, shingle) for x in as_bytes(batch.column("text"))], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
 
+    bounded_batches(docs.sparkSession)
     return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, "doc_id long, fp long")
 
 
@@ -248,6 +249,9 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataF
 def keep_one(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
     """One row of each component: the one with the smallest id (one row of those that share that id)."""
     found = near_duplicates(docs, radius, shingle).where("doc_id <=> component_id")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("kept_key")
-    kept = docs.select("*", key).join(found.select(key).distinct(), "kept_key").dropDuplicates(["kept_key"])
-    return kept.select(*docs.columns)
+    name = "kept_key"
+    while name in docs.columns:
+        name += "_"
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias(name)
+    kept = docs.select("*", key).join(found.select(key).distinct(), name).dropDuplicates([name])
+    return kept.select(*[f"`{c}`" for c in docs.columns])
