@@ -20,12 +20,15 @@ _ODD = re.compile(
 )
 #: A run of Latin letters, ASCII punctuation without the apostrophe (which may open a contraction), white space.
 _L = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"
+_WORD = re.compile(_L)
 _P = rb"[!-&(-/:-@\[-`{-~]"
 _W = rb"[ \t-\r]"
 #: Pre-tokens end where letters meet such punctuation; else a unit runs to the next white space.
 _PARTS = re.compile(b"%b*%b(?=%b|%b|\\Z)|%b*%b+(?=%b|%b|\\Z)|%b*[^ \\t-\\r]+|%b+" % (_W, _L, _P, _W, _W, _P, _L, _W, _W, _W))
 #: White space that is not one space or one line feed between words.
 _LOOSE = (b"  ", b" \n", b"\n ", b"\n\n", b"\t", b"\r", b"\x0b", b"\x0c")
+#: A comma or full stop at a word's end after something that is no Latin letter or digit: both may be one pre-token.
+_GLUED = re.compile(rb"[,.][ \n](?<=[^A-Za-z0-9][,.][ \n])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][,.][ \n])|\x01|\A[,.]")
 #: Bytes without which a text has nothing odd.
 _LEADS = (b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2", b"\xe1", b"\xe2", b"\xe3", b"\xef")
 
@@ -40,12 +43,27 @@ def whole(tokenizer, text: bytes) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+#: struct.pack for few ids, by their number.
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(12)]
+
+
 class _Units(dict):
-    """Units that have been encoded, in two generations of at most `keep`; `lead` is put before each."""
+    """Units that have been encoded, in two generations of at most `keep`.
+
+    `lead` is put before each but those that bring their own line feed, or byte 1 for none at all.
+    """
+
+    def __init__(self, tokenizer, lead: bytes, keep: int, spaces: bool, lowers: bool):
+        from tokenizers.pre_tokenizers import ByteLevel
 
-    def __init__(self, tokenizer, lead: bytes, keep: int):
         super().__init__()
-        self.tokenizer, self.lead, self.keep, self.old = tokenizer, lead, keep, {}
+        self.tokenizer, self.lead, self.keep, self.old, self.lowers = tokenizer, lead, keep, {}, lowers
+        show = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.space = show(" ")[0][0] if spaces else ""
+        # how the vocabulary writes the bytes of Latin words
+        self.written = {c: show(chr(c))[0][0] for c in range(33, 127)}
+        for c in range(0x80, 0xC0):
+            self.written[0xC3], self.written[c] = show(bytes([0xC3, c]).decode())[0][0]
 
     def store(self, unit: bytes, ids: bytes) -> None:
         if len(self) >= self.keep:
@@ -56,7 +74,23 @@ class _Units(dict):
     def learn(self, units: set[bytes]) -> dict[bytes, bytes]:
         """The ids of units that are not held, by one call of the library for all that are new."""
         found = {u: self.old[u] for u in units if u in self.old}
+        # what has no white space before it depends on its neighbours: not to be joined with other units
+        found.update((u, whole(self.tokenizer, u[1:])) for u in units if u[:1] == b"\x01" and u not in found)
         new = [u for u in units if u not in found]
+        if self.lead and new:
+            # a Latin word is one pre-token: the library's model takes it as it is
+            tokenize, space, rest = self.tokenizer.model.tokenize, self.space, []
+            for u in new:
+                if u.isalpha():
+                    shown = u.decode().lower() if self.lowers else u.decode()
+                elif _WORD.fullmatch(u):
+                    shown = (u.decode().lower().encode() if self.lowers else u).decode("latin-1").translate(self.written)
+                else:
+                    rest.append(u)
+                    continue
+                ids = [x.id for x in tokenize(space + shown)]
+                found[u] = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
+            new = rest
         if not self.lead:  # not cut at white space, so one by one
             found.update((u, whole(self.tokenizer, u)) for u in new)
         elif new:
@@ -96,8 +130,8 @@ class Encoder:
         self.spaces = spaces
         normalizer = self.tokenizer.normalizer
         self.lowers = normalizer is not None and normalizer.normalize_str("ABYZ") == "abyz"
-        self.spaced = _Units(self.tokenizer, b" ", keep)
-        self.exact = _Units(self.tokenizer, b"", keep // 8)
+        self.spaced = _Units(self.tokenizer, b" ", keep, spaces, self.lowers)
+        self.exact = _Units(self.tokenizer, b"", keep // 8, spaces, self.lowers)
 
     def whole(self, text: bytes) -> bytes:
         return whole(self.tokenizer, text)
@@ -107,9 +141,14 @@ class Encoder:
             return self.whole(text)
         if not self.spaces:
             # such a vocabulary is one of lower case: the library would lower the letters in any case
-            return self.spaced.encode((text.lower() if self.lowers else text).split())
+            text = text.lower() if self.lowers else text
+            if not _GLUED.search(text):
+                text = text.replace(b", ", b" \x01, ").replace(b". ", b" \x01. ").replace(b".\n", b" \x01.\n")
+            return self.spaced.encode(text.split())
         if text[:1].isspace() or text[-1:].isspace() or any(x in text for x in _LOOSE):
             return self.exact.encode(_PARTS.findall(text))
+        if not _GLUED.search(text):
+            text = text.replace(b", ", b" \x01, ").replace(b". ", b" \x01. ").replace(b".\n", b" \x01.\n")
         units = text.replace(b"\n", b" \n").split(b" ")
         return (self.exact.encode(units[:1]) if text else b"") + self.spaced.encode(units[1:])
 
