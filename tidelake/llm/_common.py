@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -35,6 +36,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def bounded_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """Have Spark cut what it hands to Python by bytes, so that long texts do not pile up in a batch."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(re.sub(r"\D", "", spark.conf.get(name)) or limit + 1) > limit:
+        spark.conf.set(name, str(limit))
+
+
 def new_folder(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/tidelake/{uuid.uuid4().hex}/{tag}"
 
@@ -80,9 +88,16 @@ def in_blocks(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Ite
         yield batch.slice(start)
 
 
-def row_key(doc_id: str = "doc_id", text: str = "text") -> list:
-    """Two columns that name a row by its content: rows that agree in them are exact repeats."""
-    return [F.xxhash64(F.col(doc_id)).alias("k1"), F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.lit(7)).alias("k2")]
+def gathered(batches: Iterable[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Join batches until their texts hold about `size` bytes, and cut larger ones."""
+    held: list[pa.RecordBatch] = []
+    for batch in in_blocks(batches, column, size):
+        held.append(batch)
+        if sum(b.column(column).nbytes for b in held) >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def crc_bucket(doc_id: str, modulus: int):
