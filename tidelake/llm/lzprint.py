@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import in_blocks
+from tidelake.llm._common import bounded_batches, in_blocks
 
 BINS = 128
 RENEW = 1 << 20
@@ -129,6 +129,7 @@ def both_prints(text: str, other: str) -> tuple[str, bytes, bytes]:
 def with_neighbours(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """Fingerprints of every row, of its edited text, and their likeness (see the module's text)."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), key.alias("key"))

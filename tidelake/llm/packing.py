@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tidelake.llm._common import WORD_BPE, as_bytes, in_blocks, tokenizer_path
+from tidelake.llm._common import WORD_BPE, as_bytes, bounded_batches, in_blocks, tokenizer_path
 from tidelake.llm.tokenize import encoder
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -135,6 +135,7 @@ def pack(
     slack: ids left free per window on average, so that differencing seldom exceeds the capacity.
     """
     path = tokenizer or tokenizer_path(WORD_BPE)
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path, spaces=False)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import as_bytes, in_blocks, materialise
+from tidelake.llm._common import as_bytes, bounded_batches, gathered, in_blocks, materialise
 
 WINDOW = 200
 K = 64
@@ -99,7 +99,7 @@ def find(docs: DataFrame) -> DataFrame:
     """Kind 0: places known to repeat; kind 1: one row per distinct segment and task. Columns: FOUND."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_blocks(batches, "text", 12 << 20):
+        for batch in gathered(batches, "text", 12 << 20):  # the rows of one batch are combined before the shuffle
             found = find_in(as_bytes(batch.column("text")))
             if found is None:
                 continue
@@ -109,6 +109,7 @@ def find(docs: DataFrame) -> DataFrame:
             columns = [pa.array(kind), pa.array(kh.view(np.int64)), pa.array(sh.view(np.int64)), doc, tag, pa.array(place)]
             yield pa.RecordBatch.from_arrays(columns, names=["kind", "kh", "sh", "doc", "tag", "place"])
 
+    bounded_batches(docs.sparkSession)
     return docs.select("doc", "tag", "text").mapInArrow(run, FOUND)
 
 
