@@ -43,8 +43,12 @@ def unescape(column: Column, pairs=ESCAPES) -> Column:
     return column
 
 
-def fold_events(events: DataFrame) -> DataFrame:
-    """Final messages: conv_id, turn, part (number of the message in its turn), role, text."""
+def fold_events(events: DataFrame, span: int = 1024) -> DataFrame:
+    """Final messages: conv_id, span, turn, part (number of the message in its turn), role, text.
+
+    Events are dealt by conversation and run of `span` turns, once: folding by turn and joining the turns of
+    a run need no other shuffle.
+    """
     rows = events.select(
         "conv_id",
         "turn",
@@ -52,15 +56,16 @@ def fold_events(events: DataFrame) -> DataFrame:
         F.coalesce("kind", F.lit("message")).alias("kind"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
-    )
-    order = Window.partitionBy("conv_id", "turn").orderBy("seq", "role", "text")
+        F.floor(F.col("turn") / span).alias("span"),
+    ).repartition("conv_id", "span")
+    order = Window.partitionBy("conv_id", "span", "turn").orderBy("seq", "role", "text")
     rows = rows.withColumn("part", F.sum(F.when(F.col("kind") == "message", 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.withColumn("at", F.row_number().over(order))
-    found = rows.groupBy("conv_id", "turn", "part").agg(F.sort_array(F.collect_list(F.struct("at", "kind", "role", "text"))).alias("log"))
+    found = rows.groupBy("conv_id", "span", "turn", "part").agg(F.sort_array(F.collect_list(F.struct("at", "kind", "role", "text"))).alias("log"))
     # the text is what follows the last event that sets it anew
     last = F.aggregate("log", F.lit(0), lambda n, e: F.when(e.kind != "delta", e["at"]).otherwise(n))
     kept = F.filter("log", lambda e: (e["at"] >= last) & (e.kind != "regenerate"))
-    return found.select("conv_id", "turn", "part", F.col("log")[0].role.alias("role"), F.array_join(F.transform(kept, lambda e: e.text), "").alias("text"))
+    return found.select("conv_id", "span", "turn", "part", F.col("log")[0].role.alias("role"), F.array_join(F.transform(kept, lambda e: e.text), "").alias("text"))
 
 
 def format_chat(events: DataFrame, loss_role: str = "assistant", span: int = 1024) -> DataFrame:
@@ -68,17 +73,18 @@ def format_chat(events: DataFrame, loss_role: str = "assistant", span: int = 102
 
     span: turns joined in the first of the two steps.
     """
-    m = fold_events(events)
+    m = fold_events(events, span)
     head = F.concat(F.lit("<|"), escape(F.col("role"), ROLE_ESCAPES), F.lit("|>\n"))
     body = escape(F.col("text"))
     turn = m.select(
         "conv_id",
-        F.col("turn").alias("turn"),
+        "span",
+        "turn",
         "part",
         F.concat(head, body, F.lit(END)).alias("text"),
         F.struct(F.length(head).cast("long").alias("skip"), F.when(F.col("role") == loss_role, F.length(body)).otherwise(0).cast("long").alias("loss")).alias("mask"),
     )
-    first = turn.groupBy("conv_id", F.floor(F.col("turn") / span).alias("span")).agg(F.sort_array(F.collect_list(F.struct("turn", "part", "text", "mask"))).alias("t"))
+    first = turn.groupBy("conv_id", "span").agg(F.sort_array(F.collect_list(F.struct("turn", "part", "text", "mask"))).alias("t"))
     first = first.select("conv_id", "span", F.array_join(F.transform("t", lambda x: x.text), "").alias("text"), F.transform("t", lambda x: x["mask"]).alias("mask"))
     whole = first.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("span", "text", "mask"))).alias("t"))
     return whole.select("conv_id", F.array_join(F.transform("t", lambda x: x.text), "").alias("formatted"), F.flatten(F.transform("t", lambda x: x["mask"])).alias("mask"))
