@@ -31,11 +31,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import BYTE_BPE, as_bytes, in_blocks, materialise, tokenizer_path
+from tidelake.llm._common import BYTE_BPE, as_bytes, bounded_batches, in_blocks, materialise, tokenizer_path
 from tidelake.llm.tokenize import encoder
 
 _HEADER = struct.Struct("<4sHHIIIQI")
-SHARD_SCHEMA = "part int, shard int, n_docs long, n_tokens long, n_symbols long, payload binary"
+SHARD_SCHEMA = "part int, shard int, before long, n_docs long, n_tokens long, n_symbols long, payload binary"
 SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -97,7 +97,7 @@ def replace_pairs(symbols: np.ndarray, first_rule: int, room: int, rounds: int,
     return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), closes
 
 
-def write_shard(doc_ids: list, ids: list[bytes], vocabulary: int, end_id: int, rounds: int = 5, least: int = 16) -> bytes:
+def write_shard(doc_ids: list, ids: list[bytes], vocabulary: int, end_id: int, rounds: int = 4, least: int = 20) -> bytes:
     """The bytes of one shard; ids: each document's ids without the end id, as little-endian uint32."""
     end = (0xFFFFFFFF).to_bytes(4, "little")
     symbols = np.frombuffer(end.join(ids) + end, "<u4") + np.uint32(1)  # the end wraps to symbol 0
@@ -175,16 +175,17 @@ class Shard:
 def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, vocabulary: int = 50257, shard_tokens: int = 1 << 20) -> DataFrame:
     """Encode and write; returns the shard table as read back from the shared folder."""
     path = tokenizer or tokenizer_path(BYTE_BPE)
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path, spaces=True)
+        words = encoder(path, spaces=True, keep=220_000)
         part = TaskContext.get().partitionId()
-        doc_ids, ids, held, shard = [], [], 0, 0
+        doc_ids, ids, held, shard, before = [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
             payload = write_shard(doc_ids, ids, vocabulary, end_id)
-            row = [part, shard, len(ids), held, symbols_in(payload), payload]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            row = [part, shard, before, len(ids), held, symbols_in(payload), payload]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             names = [x.split()[0] for x in SHARD_SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 
@@ -196,7 +197,7 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0,
                 held += len(got) // 4 + 1
                 if held >= shard_tokens:
                     yield flush()
-                    doc_ids, ids, held, shard = [], [], 0, shard + 1
+                    doc_ids, ids, held, shard, before = [], [], 0, shard + 1, before + held
         if ids:
             yield flush()
 
@@ -208,21 +209,20 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0,
 def read_shards(shards: DataFrame) -> DataFrame:
     """One row per document, decoded from the shards: doc_id, start, n_tokens, ids_crc32.
 
-    Shards number their parts in ascending order of ids, so a part's first id is the sum over the parts
-    before it; there are as many parts as the writer had partitions, so those sums go through the driver.
+    A shard knows the ids of its part before it; parts ascend with the documents' ids, so a part's first id
+    is the sum over the parts before it. There are as many parts as the writer had partitions, so these
+    sums go through the driver.
     """
-    spark = shards.sparkSession
-    totals = {(r[0], r[1]): r[2] for r in shards.select("part", "shard", "n_tokens").collect()}
-    starts, at = [], 0
-    for key in sorted(totals):
-        starts.append((*key, at))
-        at += totals[key]
-    firsts = spark.createDataFrame(starts, "part int, shard int, first long")
+    totals = {r["part"]: r["n"] for r in shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()}
+    firsts, at = {}, 0
+    for part in sorted(totals):
+        firsts[part] = at
+        at += totals[part]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, payload in zip(batch.column("first").to_pylist(), batch.column("payload").to_pylist()):
-                shard = Shard(payload)
+            for part, before, payload in zip(*(batch.column(c).to_pylist() for c in ("part", "before", "payload"))):
+                shard, first = Shard(payload), firsts[part] + before
                 texts = (shard.document(i) for i in range(len(shard.doc_ids)))
                 sums = [(len(t) // 4, zlib.crc32(t)) for t in texts]
                 yield pa.RecordBatch.from_arrays(
@@ -235,7 +235,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return shards.select("part", "shard", "payload").join(firsts, ["part", "shard"]).select("first", "payload").mapInArrow(run, SCHEMA)
+    return shards.select("part", "before", "payload").mapInArrow(run, SCHEMA)
 
 
 def export_shards(shards: DataFrame, folder: str) -> None:

@@ -156,9 +156,9 @@ class Encoder:
 _KEPT: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str, spaces: bool) -> Encoder:
+def encoder(path: str, spaces: bool, keep: int = 500_000) -> Encoder:
     """This worker process's encoder; what it has kept serves later tasks too."""
     if (path, spaces) not in _KEPT:
         _KEPT.clear()
-        _KEPT[path, spaces] = Encoder(path, spaces)
+        _KEPT[path, spaces] = Encoder(path, spaces, keep)
     return _KEPT[path, spaces]
