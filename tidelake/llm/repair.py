@@ -178,7 +178,7 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0,
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path, spaces=True, keep=220_000)
+        words = encoder(path, spaces=True, keep=350_000)
         part = TaskContext.get().partitionId()
         doc_ids, ids, held, shard, before = [], [], 0, 0, 0
 

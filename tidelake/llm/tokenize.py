@@ -28,11 +28,16 @@ _PARTS = re.compile(b"%b*%b(?=%b|%b|\\Z)|%b*%b+(?=%b|%b|\\Z)|%b*[^ \\t-\\r]+|%b+
 #: White space that is not one space or one line feed between words.
 _LOOSE = (b"  ", b" \n", b"\n ", b"\n\n", b"\t", b"\r", b"\x0b", b"\x0c")
 #: A comma or full stop at a word's end after something that is no Latin letter or digit: both may be one pre-token.
-_GLUED = re.compile(rb"[,.][ \n](?<=[^A-Za-z0-9][,.][ \n])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][,.][ \n])|\x01|\A[,.]")
+_GLUED = re.compile(rb"[,.][ \n](?<=[^A-Za-z0-9][,.][ \n])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][,.][ \n])")
 #: Bytes without which a text has nothing odd.
 _LEADS = (b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2", b"\xe1", b"\xe2", b"\xe3", b"\xef")
 
 
+def _plain_ends(text: bytes) -> bool:
+    """Whether every comma and full stop before a space or line feed follows a Latin letter or digit."""
+    return b"\x01" not in text and text[:1] not in (b",", b".") and _GLUED.search(text) is None
+
+
 def _odd(text: bytes) -> bool:
     leads = _LEADS[:4] if text.isascii() else _LEADS
     return any(x in text for x in leads) and _ODD.search(text) is not None
@@ -108,7 +113,10 @@ class _Units(dict):
     def encode(self, units: list[bytes]) -> bytes:
         got = list(map(self.get, units))
         if None in got:
-            holes = [i for i, x in enumerate(got) if x is None]
+            holes, at = [], -1
+            for _ in range(got.count(None)):
+                at = got.index(None, at + 1)
+                holes.append(at)
             found = self.learn({units[i] for i in holes})
             for i in holes:
                 got[i] = found[units[i]]
@@ -142,12 +150,12 @@ class Encoder:
         if not self.spaces:
             # such a vocabulary is one of lower case: the library would lower the letters in any case
             text = text.lower() if self.lowers else text
-            if not _GLUED.search(text):
+            if _plain_ends(text):
                 text = text.replace(b", ", b" \x01, ").replace(b". ", b" \x01. ").replace(b".\n", b" \x01.\n")
             return self.spaced.encode(text.split())
         if text[:1].isspace() or text[-1:].isspace() or any(x in text for x in _LOOSE):
             return self.exact.encode(_PARTS.findall(text))
-        if not _GLUED.search(text):
+        if _plain_ends(text):
             text = text.replace(b", ", b" \x01, ").replace(b". ", b" \x01. ").replace(b".\n", b" \x01.\n")
         units = text.replace(b"\n", b" \n").split(b" ")
         return (self.exact.encode(units[:1]) if text else b"") + self.spaced.encode(units[1:])
