@@ -244,6 +244,20 @@ def test_leaks_edges(spark):
     assert {(r.doc_id, r.item_id) for r in decontam.leaks(edge, items, block_bytes=30).collect()} == got
 
 
+def test_leaks_among_words_outside_the_benchmark(spark):
+    """An item of common words stands wherever it lies word for word, however rare the words around it are."""
+    rng = random.Random(3)
+    item = "the of and a to in is it that was for on are as with his they at be this from".split()
+    rows = []
+    for i in range(80):
+        around = [f"x{i}y{k}" for k in range(90)]
+        middle = item if i < 5 else rng.sample(item, len(item))
+        rows.append((i, " ".join(around[:44] + middle + around[44:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontam.leaks(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert {r.doc_id for r in got} == set(range(5))
+
+
 # -- 6 phrase fingerprints ------------------------------------------------------------------------
 
 
