@@ -258,6 +258,19 @@ def test_leaks_among_words_outside_the_benchmark(spark):
     assert {r.doc_id for r in got} == set(range(5))
 
 
+def test_a_leak_behind_decoys(spark):
+    """A long document with shuffled copies of an item first; the passage itself, with words replaced, comes later."""
+    rng = random.Random(5)
+    item = [f"w{i}" for i in range(30)]
+    passage = [f"other{i}" if i % 5 == 2 else w for i, w in enumerate(item)]
+    filler = lambda n: [f"x{rng.randint(0, 500)}" for _ in range(n)]
+    decoys = [w for _ in range(12) for w in [*rng.sample(item, len(item)), *filler(80)]]
+    rows = [(1, decoys + passage + filler(200)), (2, decoys), *((k, filler(200)) for k in range(3, 40))]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item)), *((k, " ".join(filler(30))) for k in range(2, 6))], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontam.leaks(docs, items).collect()] == [(1, 1)]
+
+
 # -- 6 phrase fingerprints ------------------------------------------------------------------------
 
 
