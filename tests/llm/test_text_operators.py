@@ -393,6 +393,16 @@ def test_lm_blocks_do_not_matter(docs):
     assert all(many[k] == pytest.approx(v, rel=1e-9) for k, v in one.items()) and len(many) == len(one)
 
 
+def test_lm_candidates_met_once_in_each_block(spark):
+    """A phrase that no block holds twice is in the tree all the same."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(["left", "right", "up"] + rng.sample([f"w{k}" for k in range(40)], 20))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one = {r.doc_id: r.score for r in lm.score_texts(docs.coalesce(1)).collect()}
+    many = {r.doc_id: r.score for r in lm.score_texts(docs.repartition(4), block_bytes=1).collect()}
+    assert all(many[k] == pytest.approx(v, rel=1e-9) for k, v in one.items())
+
+
 # -- 9 shards -------------------------------------------------------------------------------------
 
 
