@@ -439,6 +439,16 @@ def test_random_access():
         repair.Shard(b"XXXX" + payload[4:])
 
 
+def test_pairs_are_replaced_until_none_is_frequent():
+    """Copies of long documents: rules go on until no pair has 20 uses left."""
+    rng = random.Random(1)
+    copies = [np.array([rng.randint(1, 50_000) for _ in range(300)], "<u4").tobytes()] * 100
+    s = repair.Shard(repair.write_shard(list(range(100)), copies, 50_257, 0))
+    pairs = np.stack([s.symbols[:-1], s.symbols[1:]], 1)[np.diff(np.repeat(np.arange(100), np.diff(s.first_symbol.astype(int)))) == 0]
+    assert not len(pairs) or np.unique(pairs, axis=0, return_counts=True)[1].max() < 20
+    assert all(s.document(i) == c + b"\0\0\0\0" for i, c in enumerate(copies))
+
+
 def test_shard_edges(spark):
     edge = edge_docs(spark)
     rows = repair.read_shards(repair.write_shards(edge)).collect()

@@ -97,8 +97,11 @@ def replace_pairs(symbols: np.ndarray, first_rule: int, room: int, rounds: int,
     return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), closes
 
 
-def write_shard(doc_ids: list, ids: list[bytes], vocabulary: int, end_id: int, rounds: int = 4, least: int = 20) -> bytes:
-    """The bytes of one shard; ids: each document's ids without the end id, as little-endian uint32."""
+def write_shard(doc_ids: list, ids: list[bytes], vocabulary: int, end_id: int, rounds: int = 1000, least: int = 20) -> bytes:
+    """The bytes of one shard; ids: each document's ids without the end id, as little-endian uint32.
+
+    rounds: a guard far above need; replacing ends when no pair has `least` uses or the symbol space is used up.
+    """
     end = (0xFFFFFFFF).to_bytes(4, "little")
     symbols = np.frombuffer(end.join(ids) + end, "<u4") + np.uint32(1)  # the end wraps to symbol 0
     n_tokens = len(symbols)
