@@ -16,7 +16,8 @@ anything, and to short strings:
    segment each: the order of the segments by their reversed prefixes (the positional Burrows-Wheeler
    transform) is updated by a stable sort on the new column, and the lengths of the common parts of
    neighbours by range maxima. Where neighbours agree on the last WINDOW columns, that window repeats.
-   Columns are sorted files of the shuffle, read once, in chunks of bounded size.
+   The method's sequential external files are replaced by columns in memory: the shuffle sorts the segments
+   by k-gram, and all columns of a chunk of bounded size are one array; no column or BWT file is written.
 3. A k-gram with more than `hot` distinct segments is not gathered: all windows of its segments are
    counted by a 128-bit hash, with partial sums, and met again in a join.
 
