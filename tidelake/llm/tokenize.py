@@ -3,7 +3,7 @@
 Both vocabularies cut a text before the merges at white space and where letters meet punctuation, so a
 text's ids are the ids of its units in a row. A unit is a word with the white space before it. Distinct
 units are encoded by the library once per worker process and kept, in two generations of bounded size;
-all other work is a dictionary lookup. The new units of a text go through the library in one call. Texts with white space outside ASCII, where engines differ on what a
+all other work is a dictionary lookup. Texts with white space outside ASCII, where engines differ on what a
 space is, go through the library whole.
 """
 
@@ -12,19 +12,18 @@ from __future__ import annotations
 import re
 import struct
 
-import numpy as np
-
 #: UTF-8 forms of characters that some engine counts as white space, ASCII space aside.
 _ODD = re.compile(
     rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81[\x9f-\xaf]|\xe3\x80\x80|\xef\xbb\xbf"
 )
 #: A run of Latin letters, ASCII punctuation without the apostrophe (which may open a contraction), white space.
 _L = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"
-_WORD = re.compile(_L)
 _P = rb"[!-&(-/:-@\[-`{-~]"
 _W = rb"[ \t-\r]"
 #: Pre-tokens end where letters meet such punctuation; else a unit runs to the next white space.
 _PARTS = re.compile(b"%b*%b(?=%b|%b|\\Z)|%b*%b+(?=%b|%b|\\Z)|%b*[^ \\t-\\r]+|%b+" % (_W, _L, _P, _W, _W, _P, _L, _W, _W, _W))
+#: A Latin word, perhaps after a line feed, perhaps with marks after it.
+_DRESSED = re.compile(b"(\n?)(%b)(%b*)" % (_L, _P))
 #: White space that is not one space or one line feed between words.
 _LOOSE = (b"  ", b" \n", b"\n ", b"\n\n", b"\t", b"\r", b"\x0b", b"\x0c")
 #: A comma or full stop at a word's end after something that is no Latin letter or digit: both may be one pre-token.
@@ -50,10 +49,12 @@ def whole(tokenizer, text: bytes) -> bytes:
 
 #: struct.pack for few ids, by their number.
 _PACK = [struct.Struct(f"<{n}I").pack for n in range(12)]
+#: Bytes of the longest unit that is kept.
+_LONGEST = 64
 
 
 class _Units(dict):
-    """Units that have been encoded, in two generations of at most `keep`.
+    """Units that have been encoded, in two generations of at most `keep` units of at most `_LONGEST` bytes.
 
     `lead` is put before each but those that bring their own line feed, or byte 1 for none at all.
     """
@@ -63,6 +64,7 @@ class _Units(dict):
 
         super().__init__()
         self.tokenizer, self.lead, self.keep, self.old, self.lowers = tokenizer, lead, keep, {}, lowers
+        self.tokenize = tokenizer.model.tokenize
         show = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.space = show(" ")[0][0] if spaces else ""
         # how the vocabulary writes the bytes of Latin words
@@ -70,57 +72,44 @@ class _Units(dict):
         for c in range(0x80, 0xC0):
             self.written[0xC3], self.written[c] = show(bytes([0xC3, c]).decode())[0][0]
 
-    def store(self, unit: bytes, ids: bytes) -> None:
-        if len(self) >= self.keep:
-            self.old = dict(self)
-            self.clear()
-        self[unit] = ids
-
-    def learn(self, units: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of units that are not held, by one call of the library for all that are new."""
-        found = {u: self.old[u] for u in units if u in self.old}
-        # what has no white space before it depends on its neighbours: not to be joined with other units
-        found.update((u, whole(self.tokenizer, u[1:])) for u in units if u[:1] == b"\x01" and u not in found)
-        new = [u for u in units if u not in found]
-        if self.lead and new:
-            # a Latin word is one pre-token: the library's model takes it as it is
-            tokenize, space, rest = self.tokenizer.model.tokenize, self.space, []
-            for u in new:
-                if u.isalpha():
-                    shown = u.decode().lower() if self.lowers else u.decode()
-                elif _WORD.fullmatch(u):
-                    shown = (u.decode().lower().encode() if self.lowers else u).decode("latin-1").translate(self.written)
-                else:
-                    rest.append(u)
-                    continue
-                ids = [x.id for x in tokenize(space + shown)]
-                found[u] = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
-            new = rest
-        if not self.lead:  # not cut at white space, so one by one
-            found.update((u, whole(self.tokenizer, u)) for u in new)
-        elif new:
-            texts = [(u if u[:1] == b"\n" else self.lead + u).decode("utf-8", "replace") for u in new]
-            got = self.tokenizer.encode("".join(texts), add_special_tokens=False)
-            # a unit's ids are those whose characters start in it
-            starts = np.cumsum([0, *map(len, texts)])
-            cut = (4 * np.searchsorted(np.array([a for a, _ in got.offsets], np.int64), starts)).tolist()
-            ids = struct.pack(f"<{len(got.ids)}I", *got.ids)
-            found.update((u, ids[cut[i] : cut[i + 1]]) for i, u in enumerate(new))
-        for u, x in found.items():
-            self.store(u, x)
-        return found
+    def __missing__(self, unit: bytes) -> bytes:
+        ids = self.old.get(unit)
+        if ids is None:
+            ids = self.fresh(unit)
+        if len(unit) <= _LONGEST:
+            if len(self) >= self.keep:
+                self.old = dict(self)
+                self.clear()
+            self[unit] = ids
+        return ids
+
+    def word(self, word: bytes, space: str) -> bytes:
+        """The ids of a Latin word: one pre-token, which the library's model takes as it is."""
+        if word.isalpha():
+            shown = word.decode().lower() if self.lowers else word.decode()
+        else:
+            shown = (word.decode().lower().encode() if self.lowers else word).decode("latin-1").translate(self.written)
+        ids = [x.id for x in self.tokenize(space + shown)]
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
+
+    def fresh(self, unit: bytes) -> bytes:
+        """The ids of a unit that is not held; one that begins with byte 1 has no white space before it."""
+        if not self.lead:
+            return whole(self.tokenizer, unit[1:] if unit[:1] == b"\x01" else unit)
+        if unit.isalpha():
+            return self.word(unit, self.space)
+        bare = unit[:1] == b"\x01"
+        found = _DRESSED.fullmatch(unit, 1 if bare else 0)
+        if found is None or (bare and found[1]):
+            return whole(self.tokenizer, unit[1:] if bare else unit if unit[:1] == b"\n" else self.lead + unit)
+        line, word, marks = found.groups()
+        if marks or line:  # three pre-tokens, the word's ids and the marks' most likely known
+            head = self[b"\x01\n"] if line and self.space else b""
+            return head + self[b"\x01" + word if line or bare else word] + (self[b"\x01" + marks] if marks else b"")
+        return self.word(word, "" if bare else self.space)
 
     def encode(self, units: list[bytes]) -> bytes:
-        got = list(map(self.get, units))
-        if None in got:
-            holes, at = [], -1
-            for _ in range(got.count(None)):
-                at = got.index(None, at + 1)
-                holes.append(at)
-            found = self.learn({units[i] for i in holes})
-            for i in holes:
-                got[i] = found[units[i]]
-        return b"".join(got)
+        return b"".join(map(self.__getitem__, units))
 
 
 class Encoder:
