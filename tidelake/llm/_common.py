@@ -26,20 +26,38 @@ def tokenizer_path(name: str) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see (spark.checkpoint.dir).
 
-    Only where the session names none (tests on one machine) a temporary folder is taken, and it is
-    set on the session so that later calls agree.
+    Where the session names none, a temporary folder is taken on a local master (tests on one machine) and
+    set on the session so that later calls agree; a cluster has no folder that could be guessed.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         found = "file://" + tempfile.mkdtemp(prefix="tidelake-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
+def size_in_bytes(text: str) -> int:
+    """A size as Spark writes it: ``4194304``, ``64m``, ``64MB``; -1 for none."""
+    found = re.fullmatch(r"\s*(-?\d+)\s*([bkmgtp]?)(?:i?b)?\s*", text.lower())
+    if not found:
+        raise ValueError(f"not a size: {text!r}")
+    return int(found[1]) * _UNITS[found[2]]
+
+
 def bounded_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
-    """Have Spark cut what it hands to Python by bytes, so that long texts do not pile up in a batch."""
+    """Have Spark cut what it hands to Python by bytes, so that long texts do not pile up in a batch.
+
+    Spark takes this setting from the session when a query is run, not where it is written down, so it
+    stays lowered for the session; a lower one is left as it is.
+    """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(re.sub(r"\D", "", spark.conf.get(name)) or limit + 1) > limit:
+    now = size_in_bytes(spark.conf.get(name))
+    if now > limit or now <= 0:
         spark.conf.set(name, str(limit))
 
 
@@ -47,6 +65,25 @@ def new_folder(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/tidelake/{uuid.uuid4().hex}/{tag}"
 
 
+def planned_bytes(df: DataFrame) -> int | None:
+    """Bytes that the planner expects a frame to read or hold; None where it does not say."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except AttributeError:  # a client without the JVM at hand
+        return None
+
+
+def fewer(df: DataFrame, source: DataFrame, each: int = 16 << 20) -> DataFrame:
+    """df in no more partitions than `source` has runs of `each` bytes, and the cluster has cores.
+
+    Many small partitions make many small files, and starting a file costs more than filling it. No rows
+    are shuffled: neighbouring partitions are read one after the other. Partition numbers that go into a
+    result must come from `spark_partition_id` of the frame before this.
+    """
+    size = planned_bytes(source)
+    return df if size is None else df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // each)))
+
+
 def materialise(df: DataFrame, tag: str, *partition_by: str) -> DataFrame:
     """Write to the shared folder and read again: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
