@@ -421,32 +421,53 @@ def test_shards_round_trip(docs, texts, tmp_path):
     assert [d for f in files for d in repair.Shard(f.read_bytes()).doc_ids] == sorted(texts)
 
 
-def test_random_access():
+@pytest.mark.parametrize("small", [True, False])
+def test_random_access(small, monkeypatch):
+    if not small:  # the way for more symbols than 16 bits hold
+        grouped = repair._grouped
+        monkeypatch.setattr(repair, "_grouped", lambda left, right, at, small: grouped(left, right, at, False))
     rng = random.Random(0)
-    ids = [np.array([rng.choice([1, 2, 3, 0, 50_256]) for _ in range(rng.randint(0, 400))], "<u4") for _ in range(60)]
-    for vocabulary in (50_257, 100_000):
-        payload = repair.write_shard(list(range(60)), [x.tobytes() for x in ids], vocabulary, 0, least=2)
-        s = repair.Shard(payload)
-        assert len(s.rules) and len(s.symbols) < sum(map(len, ids)) and repair.symbols_in(payload) == len(s.symbols)
-        for i, x in enumerate(ids):
-            whole = np.append(x, 0)
-            assert s.document(i) == whole.astype("<u4").tobytes()
-            for _ in range(20):
-                a = rng.randint(0, len(whole))
-                b = rng.randint(a, len(whole))
-                assert (s.ids(i, a, b) == whole[a:b]).all()
+    ids = [np.array([rng.choice([1, 2, 3, 0, 50_256, 100_000]) for _ in range(rng.randint(0, 400))], "<u4") for _ in range(60)]
+    payload = repair.write_shard(list(range(60)), [x.tobytes() for x in ids], 0, least=2, part=3, before=70)
+    s = repair.Shard(payload)
+    assert len(s.rules) and len(s.symbols) < sum(map(len, ids)) and (s.header.part, s.header.before, s.header.n_symbols) == (3, 70, len(s.symbols))
+    assert [bytes(x) for x in s.documents()] == [s.document(i) for i in range(60)]
+    for i, x in enumerate(ids):
+        whole = np.append(x, 0)
+        assert s.document(i) == whole.astype("<u4").tobytes()
+        for _ in range(20):
+            a = rng.randint(0, len(whole))
+            b = rng.randint(a, len(whole))
+            assert (s.ids(i, a, b) == whole[a:b]).all()
     with pytest.raises(ValueError):
         repair.Shard(b"XXXX" + payload[4:])
 
 
-def test_pairs_are_replaced_until_none_is_frequent():
-    """Copies of long documents: rules go on until no pair has 20 uses left."""
+def most_uses(s):
+    """Uses of the commonest pair left within documents."""
+    document = np.repeat(np.arange(len(s.doc_ids)), np.diff(s.first_symbol.astype(int)))
+    pairs = np.stack([s.symbols[:-1], s.symbols[1:]], 1)[(document[1:] == document[:-1]) & (s.symbols[1:] != 0)]
+    return np.unique(pairs, axis=0, return_counts=True)[1].max() if len(pairs) else 0
+
+
+def test_pairs_are_replaced_until_none_is_frequent(texts):
+    """Copies of long documents, runs of one id, and real texts: rules go on until no pair has `least` uses left."""
     rng = random.Random(1)
     copies = [np.array([rng.randint(1, 50_000) for _ in range(300)], "<u4").tobytes()] * 100
-    s = repair.Shard(repair.write_shard(list(range(100)), copies, 50_257, 0))
-    pairs = np.stack([s.symbols[:-1], s.symbols[1:]], 1)[np.diff(np.repeat(np.arange(100), np.diff(s.first_symbol.astype(int)))) == 0]
-    assert not len(pairs) or np.unique(pairs, axis=0, return_counts=True)[1].max() < 20
-    assert all(s.document(i) == c + b"\0\0\0\0" for i, c in enumerate(copies))
+    runs = [np.full(rng.randint(0, 3000), 7, "<u4").tobytes() for _ in range(40)]
+    e = Encoder(tokenizer_path(BYTE_BPE), True)
+    for ids in (copies, runs, [e.encode(t.encode()) for t in texts.values()]):
+        for least in (2, 12):
+            s = repair.Shard(repair.write_shard(list(range(len(ids))), ids, 0, least))
+            assert most_uses(s) < least and len(s.rules)
+            assert [bytes(x) for x in s.documents()] == [x + b"\0\0\0\0" for x in ids]
+
+
+def test_starts_come_from_the_files(spark, docs):
+    """The other columns of the shard table may be wrong: only the shards' bytes are read."""
+    shards = repair.write_shards(docs, shard_tokens=20_000)
+    bytes_alone = shards.select("payload")
+    assert sorted(repair.read_shards(bytes_alone).collect()) == sorted(repair.read_shards(shards).collect())
 
 
 def test_shard_edges(spark):

@@ -1,16 +1,17 @@
 """Operator 9: token ids in Re-Pair compressed shards.
 
 `write_shards` range-partitions the documents by id, encodes each text whole, appends the end id and
-cuts each partition's run of ids into shards. In a shard frequent id pairs are replaced, round after
-round, by new nonterminals, until no pair is frequent or the symbol space is used up; no pair crosses
-a document's end. A shard stores its rules, their expansion lengths, and for every document the place
-of its first symbol and first id, so that any document, or any range of its ids, is decoded without
-touching the rest.
-
-File format, little-endian: the header (magic ``RPSH``, version, symbol bytes, documents, rules,
-symbols, ids, end id), document ids (int64) and their null flags (uint8), first symbols (uint32, one
-more than documents), first ids (uint64, likewise), rules (pairs of uint32), expansion lengths (uint32),
-symbols (uint16 or uint32). Symbol 0 ends a document, symbol s + 1 is id s, rules follow the largest id.
+cuts each partition's run of ids into shards. In a shard frequent id pairs are replaced by new
+nonterminals until no pair has `least` uses; no pair crosses a document's end. A shard stores its rules,
+their expansion lengths, and for every document the place of its first symbol and first id, so that any
+document, or any range of its ids, is decoded without touching the rest.
+
+File format, little-endian. Header: magic ``RPSH``, version (uint16), bytes of a symbol (uint16), the
+writer's part (uint32), documents, distinct ids, rules, symbols (uint32 each), ids in the part before the
+shard, ids in the shard (uint64 each). Then the distinct ids, ascending (uint32), document ids (int64) and their null flags
+(uint8), first symbols (uint32, one more than documents), first ids (uint64, likewise), rules (pairs of
+uint32), expansion lengths (uint32), symbols (uint16 or uint32). Symbol 0 ends a document and stands for
+the end id (the last uint32 of the header), symbol s + 1 is the distinct id number s, rules follow.
 
 Shards are rows of a Parquet table in the shared folder, so that Spark's commit protocol covers lost
 and repeated tasks; `export_shards` turns the rows into plain files.
@@ -31,115 +32,138 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import BYTE_BPE, as_bytes, bounded_batches, in_blocks, materialise, tokenizer_path
+from tidelake.llm._common import BYTE_BPE, as_bytes, bounded_batches, fewer, in_blocks, materialise, tokenizer_path
 from tidelake.llm.tokenize import encoder
 
-_HEADER = struct.Struct("<4sHHIIIQI")
-SHARD_SCHEMA = "part int, shard int, before long, n_docs long, n_tokens long, n_symbols long, payload binary"
+_HEADER = struct.Struct("<4sHHIIIIIQQI")
+SHARD_SCHEMA = "part int, shard int, n_docs long, n_tokens long, n_symbols long, payload binary"
 SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def replace_pairs(symbols: np.ndarray, first_rule: int, room: int, rounds: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Re-Pair in rounds: all pairs of at least `least` uses get a rule, commoner pairs first in space.
+def _grouped(left: np.ndarray, right: np.ndarray, at: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pair codes in order, and the places they stand at, ascending within a pair. small: symbols of 16 bits, places of 32."""
+    if small:
+        packed = ((left << np.uint32(16)) | right).astype(np.uint64)
+        packed <<= np.uint64(32)
+        packed |= at.astype(np.uint64)
+        packed.sort()
+        return (packed >> np.uint64(32)).astype(np.uint32), (packed & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    codes = (left.astype(np.uint64) << np.uint64(32)) | right
+    order = np.argsort(codes, kind="stable")
+    return codes[order], at[order]
+
+
+def replace_pairs(symbols: np.ndarray, first_rule: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Re-Pair: replaces pairs by new symbols until none has `least` uses.
 
-    What ends a document (symbol 0, and rules that close with it) is never the left part of a pair.
+    Each round gives a new symbol to every frequent pair, and where two of them overlap the one with more
+    uses goes first. The uses of a pair can only grow in the round that makes one of its symbols; so a
+    round looks at the places next to the last round's new symbols and at those of pairs that were
+    frequent already, and every use of a pair that may be frequent is among them. What ends a document
+    (symbol 0, and rules that close with it) is never the left part of a pair.
     Returns the symbols left, the rules, and by symbol whether it ends a document.
     """
-    rules: list[np.ndarray] = []
-    made = 0
+    n = len(symbols)
+    sym = np.append(symbols, 0).astype(np.uint32)
+    after, before = np.arange(1, n + 2), np.arange(-1, n)  # the symbols left are a list; place n is past its end
+    live, mark, weight = np.ones(n, bool), np.zeros(n + 1, bool), np.zeros(n + 1, np.int32)
     closes = np.zeros(first_rule, bool)
     closes[0] = True
-    small = first_rule + room <= 65536
-    kind = np.uint32 if small else np.uint64
-    shift, factor = (kind(14), kind(0x9E3779B1)) if small else (kind(46), kind(0x9E3779B97F4A7C15))
-    slot = lambda c: (c * factor) >> shift
-    for _ in range(rounds):
-        if len(symbols) < 2 or made >= room:
-            break
-        left, right = symbols[:-1], symbols[1:]
-        codes = (left << kind(16)) | right if small else (left.astype(kind) << kind(32)) | right
-        open_ = ~closes[left]
-        ordered = np.sort(codes[open_])
-        if not len(ordered):
+    rules: list[np.ndarray] = []
+    made = first_rule
+    at = np.arange(n)
+    while True:
+        at = at[~closes[sym[at]] & (after[at] < n)]
+        if not len(at):
             break
-        edges = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
-        starts = np.concatenate([[0], edges])
-        uses = np.diff(np.concatenate([starts, [len(ordered)]]))
-        good = np.flatnonzero(uses >= least)
-        if not len(good):
+        codes, at = _grouped(sym[at], sym[after[at]], at, made <= 1 << 16)
+        starts = np.append(0, np.flatnonzero(codes[1:] != codes[:-1]) + 1)
+        uses = np.diff(np.append(starts, len(codes)))
+        frequent = np.flatnonzero(uses >= least)
+        if not len(frequent):
             break
-        # rules by hash slot, the commoner pair where two share one; the other waits for the next round
-        good = good[np.argsort(uses[good], kind="stable")][-(room - made) :]
-        wanted, rank = ordered[starts[good]], uses[good]
-        table = np.full(1 << 18, -1, np.int32)
-        table[slot(wanted)] = np.arange(len(wanted), dtype=np.int32)
-        found = table[slot(codes)]
-        at = np.flatnonzero((found >= 0) & open_)
-        found = found[at]
-        hit = wanted[found] == codes[at]
-        at, found = at[hit], found[hit]
-        # of overlapping pairs the one with more uses goes first; the others wait for the next round
-        weight = np.zeros(len(symbols) + 1, np.int32)
-        weight[at + 1] = rank[found]
-        chosen = (weight[at + 1] > weight[at]) & (weight[at + 1] >= np.append(weight, 0)[at + 2])
-        at, found = at[chosen], found[chosen]
-        used, renumbered = np.unique(found, return_inverse=True)
-        pairs = wanted[used]
-        half = kind(16 if small else 32)
-        rules.append(np.stack([pairs >> half, pairs & ((kind(1) << half) - kind(1))], 1).astype(np.uint32))
-        closes = np.concatenate([closes, closes[rules[-1][:, 1]]])
-        symbols = symbols.copy()
-        symbols[at] = first_rule + made + renumbered
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        symbols = symbols[keep]
+        rank = np.zeros(len(starts), np.int32)
+        rank[frequent[np.argsort(uses[frequent], kind="stable")]] = np.arange(1, len(frequent) + 1)
+        rank = np.repeat(rank, uses)
+        at, rank = at[rank > 0], rank[rank > 0]
+        weight[at] = rank
+        # a symbol repeated in a row is a run of overlapping uses of one pair: every second one is taken
+        joined = np.append(False, (rank[1:] == rank[:-1]) & (after[at[:-1]] == at[1:]))
+        places = np.arange(len(at))
+        odd = (places - np.maximum.accumulate(np.where(joined, 0, places))) & 1 == 1
+        follows = np.append(joined[1:], False)
+        chosen = ~odd & (joined | (weight[before[at]] < rank)) & (follows | (weight[after[at]] < rank))
+        weight[at] = 0
+        mark[at] = True
+        at, rank = at[chosen], rank[chosen]
+        used, number = np.unique(rank, return_inverse=True)
+        second = after[at]
+        pairs = np.zeros((len(used), 2), np.uint32)
+        pairs[number, 0], pairs[number, 1] = sym[at], sym[second]
+        rules.append(pairs)
+        closes = np.append(closes, closes[pairs[:, 1]])
+        sym[at] = made + number
         made += len(used)
-    return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), closes
-
-
-def write_shard(doc_ids: list, ids: list[bytes], vocabulary: int, end_id: int, rounds: int = 1000, least: int = 20) -> bytes:
-    """The bytes of one shard; ids: each document's ids without the end id, as little-endian uint32.
-
-    rounds: a guard far above need; replacing ends when no pair has `least` uses or the symbol space is used up.
-    """
-    end = (0xFFFFFFFF).to_bytes(4, "little")
-    symbols = np.frombuffer(end.join(ids) + end, "<u4") + np.uint32(1)  # the end wraps to symbol 0
-    n_tokens = len(symbols)
-    first_id = np.concatenate([[0], np.flatnonzero(symbols == 0) + 1]).astype("<u8")
-    first_rule = max(vocabulary, int(symbols.max())) + 1
-    room = 65536 - first_rule if first_rule < 65536 - 1024 else 1 << 20
-    symbols, rules, closes = replace_pairs(symbols, first_rule, room, rounds, least)
-    lengths = np.ones(first_rule + len(rules), np.uint32)
+        third = after[second]
+        after[at], before[third] = third, at
+        live[second] = False
+        mark[at] = mark[before[at]] = True
+        mark[second] = mark[n] = False
+        at = np.flatnonzero(mark)
+        mark[at] = False
+    return sym[:n][live], np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), closes
+
+
+def write_shard(doc_ids: list, ids: list[bytes], end_id: int, least: int = 12, part: int = 0, before: int = 0) -> bytes:
+    """The bytes of one shard; ids: each document's ids without the end id, as little-endian uint32."""
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    flat = np.frombuffer(b"".join(ids), "<u4")
+    present = np.flatnonzero(np.bincount(flat)) if len(flat) else np.zeros(0, np.int64)
+    number = np.zeros(int(present[-1]) + 1 if len(present) else 1, np.uint32)
+    number[present] = np.arange(1, len(present) + 1)
+    first_id = np.append(0, np.cumsum(lengths + 1)).astype("<u8")
+    symbols = np.zeros(len(flat) + len(ids), np.uint32)
+    inside = np.ones(len(symbols), bool)
+    inside[first_id[1:].astype(np.int64) - 1] = False
+    symbols[inside] = number[flat]
+    first_rule = len(present) + 1
+    symbols, rules, closes = replace_pairs(symbols, first_rule, least)
+    expanded = np.ones(first_rule + len(rules), np.uint32)
     for i, (a, b) in enumerate(rules.tolist()):
-        lengths[first_rule + i] = lengths[a] + lengths[b]
-    first_symbol = np.concatenate([[0], np.flatnonzero(closes[symbols]) + 1]).astype("<u4")
-    width = 2 if first_rule + len(rules) <= 65536 else 4
-    head = _HEADER.pack(b"RPSH", 1, width, len(doc_ids), len(rules), len(symbols), n_tokens, end_id)
+        expanded[first_rule + i] = expanded[a] + expanded[b]
+    first_symbol = np.append(0, np.flatnonzero(closes[symbols]) + 1).astype("<u4")
+    width = 2 if len(expanded) <= 1 << 16 else 4
+    head = _HEADER.pack(b"RPSH", 2, width, part, len(ids), len(present), len(rules), len(symbols), before, int(first_id[-1]), end_id)
     parts = [
+        present.astype("<u4"),
         np.array([0 if d is None else d for d in doc_ids], "<i8"),
         np.array([d is None for d in doc_ids], "u1"),
         first_symbol,
         first_id,
-        np.array([first_rule], "<u4"),
         rules.astype("<u4"),
-        lengths[first_rule:].astype("<u4"),
+        expanded[first_rule:].astype("<u4"),
         symbols.astype(f"<u{width}"),
     ]
     return head + b"".join(p.tobytes() for p in parts)
 
 
-def symbols_in(payload: bytes) -> int:
-    return _HEADER.unpack_from(payload)[5]
+class Header:
+    """What a shard's first bytes say."""
+
+    size = _HEADER.size
+
+    def __init__(self, payload: bytes):
+        magic, version, self.width, self.part, self.n_docs, self.n_ids, self.n_rules, self.n_symbols, self.before, self.n_tokens, self.end_id = _HEADER.unpack_from(payload)
+        if magic != b"RPSH" or version != 2:
+            raise ValueError("not a Re-Pair shard of version 2")
 
 
 class Shard:
     """Random access to a shard's documents."""
 
     def __init__(self, payload: bytes):
-        magic, _, width, n, n_rules, n_symbols, self.n_tokens, self.end_id = _HEADER.unpack_from(payload)
-        if magic != b"RPSH":
-            raise ValueError("not a Re-Pair shard")
-        at = _HEADER.size
+        self.header = h = Header(payload)
+        at = h.size
 
         def take(kind: str, count: int) -> np.ndarray:
             nonlocal at
@@ -147,52 +171,73 @@ class Shard:
             at += out.nbytes
             return out
 
-        ids, nulls = take("<i8", n), take("u1", n)
+        self.words = np.append(np.array([h.end_id], "<u4"), take("<u4", h.n_ids))
+        ids, nulls = take("<i8", h.n_docs), take("u1", h.n_docs)
         self.doc_ids = [None if x else int(d) for d, x in zip(ids, nulls)]
-        self.first_symbol, self.first_id = take("<u4", n + 1), take("<u8", n + 1)
-        first_rule = int(take("<u4", 1)[0])
-        self.rules, self.rule_lengths = take("<u4", 2 * n_rules).reshape(-1, 2), take("<u4", n_rules)
-        self.symbols = take(f"<u{width}", n_symbols)
-        words = np.concatenate([[self.end_id], np.arange(first_rule - 1, dtype="<u4")]).astype("<u4").tobytes()
-        self._text = [words[i : i + 4] for i in range(0, len(words), 4)]
+        self.first_symbol, self.first_id = take("<u4", h.n_docs + 1), take("<u8", h.n_docs + 1)
+        self.rules = take("<u4", 2 * h.n_rules).reshape(-1, 2)
+        self.lengths = np.append(np.ones(len(self.words), np.int64), take("<u4", h.n_rules))
+        self.symbols = take(f"<u{h.width}", h.n_symbols)
+        # the ids of every symbol in a row: a rule's are those of its two parts
+        texts = [x.tobytes() for x in self.words]
         for a, b in self.rules.tolist():
-            self._text.append(self._text[a] + self._text[b])
+            texts.append(texts[a] + texts[b])
+        self.flat = np.frombuffer(b"".join(texts), "<u4")
+        self.at = np.cumsum(self.lengths) - self.lengths
+
+    def expand(self, first: int, last: int) -> np.ndarray:
+        """The ids of the symbols first to last."""
+        symbols = self.symbols[first:last]
+        n = self.lengths[symbols]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.arange(total) + np.repeat(self.at[symbols] - ends + n, n)]
 
     def document(self, i: int) -> bytes:
         """All ids of document i with its end id, as little-endian uint32."""
-        part = self.symbols[self.first_symbol[i] : self.first_symbol[i + 1]].tolist()
-        return b"".join(map(self._text.__getitem__, part))
+        return self.expand(int(self.first_symbol[i]), int(self.first_symbol[i + 1])).tobytes()
+
+    def documents(self) -> Iterator[memoryview]:
+        """The ids of each document in turn, as `document` gives them; whole runs of documents are expanded at once."""
+        step, i, n = 1 << 18, 0, len(self.doc_ids)
+        while i < n:
+            j = max(i + 1, int(np.searchsorted(self.first_symbol, self.first_symbol[i] + step, "right")) - 1)
+            run = memoryview(self.expand(int(self.first_symbol[i]), int(self.first_symbol[j])).tobytes())
+            cuts = (4 * (self.first_id[i : j + 1] - self.first_id[i])).tolist()
+            for a, b in zip(cuts, cuts[1:]):
+                yield run[a:b]
+            i = j
 
     def ids(self, i: int, start: int, stop: int) -> np.ndarray:
         """Ids start to stop of document i: finds the first symbol by the expansion lengths."""
-        symbols = self.symbols[self.first_symbol[i] : self.first_symbol[i + 1]].astype(np.int64)
-        base = len(self._text) - len(self.rules)
-        lengths = np.where(symbols < base, 1, self.rule_lengths[np.maximum(symbols - base, 0)] if len(self.rules) else 1)
-        ends = np.cumsum(lengths)
+        first, last = int(self.first_symbol[i]), int(self.first_symbol[i + 1])
+        ends = np.cumsum(self.lengths[self.symbols[first:last]])
         a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left")
         skipped = int(ends[a - 1]) if a else 0
-        text = b"".join(self._text[s] for s in symbols[a : b + 1].tolist())
-        return np.frombuffer(text, "<u4")[start - skipped : stop - skipped]
+        return self.expand(first + a, min(first + b + 1, last))[start - skipped : stop - skipped]
+
 
+def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, shard_tokens: int = 1 << 20, least: int = 12) -> DataFrame:
+    """Encode and write; returns the shard table as read back from the shared folder.
 
-def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, vocabulary: int = 50257, shard_tokens: int = 1 << 20) -> DataFrame:
-    """Encode and write; returns the shard table as read back from the shared folder."""
+    least: a pair is frequent from so many uses in a shard; a rule takes 12 bytes and saves two a use.
+    """
     path = tokenizer or tokenizer_path(BYTE_BPE)
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path, spaces=True, keep=350_000)
-        part = TaskContext.get().partitionId()
-        doc_ids, ids, held, shard, before = [], [], 0, 0, 0
+        words = encoder(path, spaces=True)
+        part, doc_ids, ids, held, shard, before = 0, [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
-            payload = write_shard(doc_ids, ids, vocabulary, end_id)
-            row = [part, shard, before, len(ids), held, symbols_in(payload), payload]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            payload = write_shard(doc_ids, ids, end_id, least, part, before)
+            row = [part, shard, len(ids), held, Header(payload).n_symbols, payload]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             names = [x.split()[0] for x in SHARD_SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 
         for batch in in_blocks(batches, "text", 8 << 20):
+            part = batch.column("part")[0].as_py()  # the same in all rows
             for doc, text in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text"))):
                 got = words.encode(text)
                 doc_ids.append(doc)
@@ -206,39 +251,53 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0,
 
     text = docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string"))
     ordered = text.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return materialise(ordered.mapInArrow(run, SHARD_SCHEMA), "token-shards")
+    shards = ordered.withColumn("part", F.spark_partition_id()).mapInArrow(run, SHARD_SCHEMA)
+    return materialise(fewer(shards, docs), "token-shards")
 
 
-def read_shards(shards: DataFrame) -> DataFrame:
-    """One row per document, decoded from the shards: doc_id, start, n_tokens, ids_crc32.
+def first_ids(shards: DataFrame) -> dict[int, int]:
+    """The number of ids before each part, from the shards' headers.
 
-    A shard knows the ids of its part before it; parts ascend with the documents' ids, so a part's first id
-    is the sum over the parts before it. There are as many parts as the writer had partitions, so these
-    sums go through the driver.
+    Parts ascend with the documents' ids. There are as many as the writer had partitions, so their sums go
+    through the driver.
     """
-    totals = {r["part"]: r["n"] for r in shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = [Header(x) for x in batch.column("head").to_pylist()]
+            columns = [pa.array([h.part for h in heads], pa.int64()), pa.array([h.before + h.n_tokens for h in heads], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "n"])
+
+    heads = shards.select(F.substring("payload", 1, Header.size).alias("head")).mapInArrow(run, "part long, n long")
+    totals = {r["part"]: r["n"] for r in heads.groupBy("part").agg(F.max("n").alias("n")).collect()}
     firsts, at = {}, 0
     for part in sorted(totals):
         firsts[part] = at
         at += totals[part]
+    return firsts
+
+
+def read_shards(shards: DataFrame) -> DataFrame:
+    """One row per document, decoded from the shards' bytes alone: doc_id, start, n_tokens, ids_crc32."""
+    firsts = first_ids(shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, before, payload in zip(*(batch.column(c).to_pylist() for c in ("part", "before", "payload"))):
-                shard, first = Shard(payload), firsts[part] + before
-                texts = (shard.document(i) for i in range(len(shard.doc_ids)))
-                sums = [(len(t) // 4, zlib.crc32(t)) for t in texts]
+            for payload in batch.column("payload"):
+                shard = Shard(payload.as_py())
+                first = firsts[shard.header.part] + shard.header.before
+                sums = [zlib.crc32(t) for t in shard.documents()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(shard.doc_ids, pa.int64()),
                         pa.array(shard.first_id[:-1].astype(np.int64) + first),
-                        pa.array([n for n, _ in sums], pa.int64()),
-                        pa.array([c for _, c in sums], pa.int64()),
+                        pa.array(np.diff(shard.first_id).astype(np.int64)),
+                        pa.array(sums, pa.int64()),
                     ],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return shards.select("part", "before", "payload").mapInArrow(run, SCHEMA)
+    return fewer(shards.select("payload").mapInArrow(run, SCHEMA), shards)
 
 
 def export_shards(shards: DataFrame, folder: str) -> None:
