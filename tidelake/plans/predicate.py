@@ -26,8 +26,10 @@ def _value(v: Any) -> Any:
     kind, text = v.getClass().getName(), v.toString()
     if kind == "java.sql.Date" or kind == "java.time.LocalDate":
         return dt.date.fromisoformat(text)
-    if kind in ("java.time.LocalDateTime", "java.sql.Timestamp"):
-        return dt.datetime.fromisoformat(text.replace(" ", "T"))
+    if kind == "java.time.LocalDateTime":
+        return dt.datetime.fromisoformat(text)
+    if kind == "java.sql.Timestamp":  # an instant; its text is in the JVM's zone
+        return dt.datetime(1970, 1, 1) + dt.timedelta(seconds=v.getTime() // 1000, microseconds=v.getNanos() // 1000)
     if kind == "java.time.Instant":
         return dt.datetime.fromisoformat(text.replace("Z", "+00:00")).replace(tzinfo=None)
     raise TypeError(kind)
