@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelake import scan
 from tidelake.lakebuilder import Lake
+from tidelake.operators import deletes
 from tidelake.plans import layout, predicate
 from tidelake.sources.catalog import Catalog, Table
 from tidelake.sources.connect import Factory
@@ -163,15 +164,78 @@ def test_identity_partitions_prune_later_conditions(spark):
     assert len(scan(spark, lk.catalog, "t", where="region = 'eu'").inputFiles()) == 1
 
 
-def test_many_partition_values_share_one_scan(spark, monkeypatch):
+def test_many_partition_values_share_scans_by_range(spark, monkeypatch):
     monkeypatch.setattr(layout, "MOST_LITERALS", 2)
     lk = Lake(spark)
     t = lk.add_table("t", [("id", "int64"), ("k", "int32")])
     p = lk.add_partition(t, ("k", "identity"))
-    for k in range(3):
+    for k in (2, 10, 9, 1, 30):
         lk.add_file(t, spark.range(2).withColumn("k", F.lit(k)), partition=(p, [str(k)]))
     df = scan(spark, lk.catalog, "t")
-    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1 and df.count() == 6
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2 and df.count() == 10
+    assert len(df.where("k = 30").inputFiles()) == 2 and df.where("k = 30").count() == 2  # numbers, not texts, make the ranges
+    assert len(df.where("k = 99").inputFiles()) == 0
+
+
+def test_a_limit_opens_few_files(spark, three):
+    for n, files in ((0, 0), (10, 1), (100, 1), (101, 2), (5000, 3)):
+        df = scan(spark, three.catalog, "t", limit=n)
+        assert len(df.inputFiles()) == files and df.count() == min(n, 352)
+    df = scan(spark, three.catalog, "t", where="id > 100", limit=5)
+    assert len(df.inputFiles()) == 2 and df.count() == 5
+    with pytest.raises(ValueError):
+        scan(spark, three.catalog, "t", limit=-1)
+
+
+def test_a_limit_counts_deleted_rows_out(spark):
+    lk = Lake(spark)
+    t = lk.add_table("t", [("id", "int64")])
+    a, _ = (lk.add_file(t, spark.range(k, k + 10)) for k in (0, 10))
+    lk.add_deletes(t, a, [0, 1, 2, 3])
+    # the delete file is among the files read
+    assert len(scan(spark, lk.catalog, "t", limit=6).inputFiles()) == 2 and len(scan(spark, lk.catalog, "t", limit=7).inputFiles()) == 3
+    assert scan(spark, lk.catalog, "t", limit=7).count() == 7
+
+
+def test_many_deletes_are_cut_into_parts_that_can_be_broadcast(spark, monkeypatch):
+    lk = Lake(spark)
+    t = lk.add_table("t", [("id", "int64")])
+    for k in range(4):
+        lk.add_deletes(t, lk.add_file(t, spark.range(10 * k, 10 * k + 10)), [0, 5])
+    want = [(i,) for i in range(40) if i % 5]
+    plans = []
+    for most, parts in ((500_000, 32), (4, 32), (2, 32), (4, 1)):
+        monkeypatch.setattr(deletes, "MOST_BROADCAST", most)
+        monkeypatch.setattr(deletes, "MOST_PARTS", parts)
+        df = scan(spark, lk.catalog, "t")
+        assert rows(df) == want
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti"))
+    assert plans == [1, 2, 4, 1]
+
+
+def test_zoned_literals_prune_by_instant_whatever_the_jvm_s_zone(spark):
+    lk = Lake(spark)
+    t = lk.add_table("t", [("at", "timestamptz")])
+    lk.add_file(t, spark.sql("select timestamp'2024-01-01 10:00:00+00:00' as at"), stats=["at"])
+    lk.sql("UPDATE ducklake_file_column_stats SET min_value = '2024-01-01 10:00:00+00', max_value = '2024-01-01 10:00:00+00'")
+    zones = spark._jvm.java.util.TimeZone
+    before = zones.getDefault()
+    try:
+        for zone in ("America/Los_Angeles", "Asia/Tokyo", "UTC"):
+            zones.setDefault(zones.getTimeZone(zone))
+            assert scan(spark, lk.catalog, "t", where="at = timestamp'2024-01-01 10:00:00+00:00'").count() == 1
+            assert len(scan(spark, lk.catalog, "t", where="at > timestamp'2024-01-01 10:00:00.5+00:00'").inputFiles()) == 0
+    finally:
+        zones.setDefault(before)
+
+
+def test_maps_in_both_forms_within_one_table(spark):
+    lk = Lake(spark)
+    t = lk.add_table("t", [("id", "int64"), ("m", "map", [("key", "varchar"), ("value", "int64")])])
+    df = spark.range(2).select("id", F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    for part in (df, df.select("id", F.map_entries("m").alias("m")), df):
+        lk.add_file(t, part)
+    assert rows(scan(spark, lk.catalog, "t").select("id", F.col("m")["a"])) == [(0, 0)] * 3 + [(1, 1)] * 3
 
 
 def test_column_ids_of_other_tables_do_not_mix(spark):
@@ -223,9 +287,9 @@ def test_catalog_cost(spark):
         lk.add_file(t, spark.range(k, k + 1), stats=["id"])
         lk.take_snapshot()
     log = []
-    source = Factory(lambda: Counting(lk.path, log))
+    source = Factory(lambda: Counting(lk.path, log), kind="sqlite")
     scan(spark, source, "t").count()
-    assert log.count("connect") == 1 and sum("ducklake_data_file" in x for x in log) == 1
+    assert log.count("connect") == 1 and sum("ORDER BY file_order" in x for x in log) == 1
     assert not any("file_column_stats" in x for x in log) and sum("FROM ducklake_column" in x for x in log) == 1
     log.clear()
     scan(spark, source, "t", where="id = 3").count()
@@ -241,6 +305,111 @@ def test_source_format(spark, three):
     assert pruned.count() == 202 and pruned.rdd.getNumPartitions() == 2
 
 
+def test_source_pins_its_snapshot(spark):
+    register(spark)
+    lk = Lake(spark)
+    t = lk.add_table("t", [("id", "int64")])
+    lk.add_file(t, spark.range(2))
+    df = spark.read.format("tidelake").options(catalog=lk.catalog, table="t").load()
+    lk.take_snapshot()
+    lk.add_column(t, "more", "varchar", default="x")
+    lk.add_file(t, spark.range(5, 7).withColumn("more", F.lit("y")))
+    assert df.columns == ["id"] and rows(df) == [(0,), (1,)]
+    later = spark.read.format("tidelake").options(catalog=lk.catalog, table="t").load()
+    assert rows(later) == [(0, "x"), (1, "x"), (5, "y"), (6, "y")]
+
+
+def test_source_agrees_with_scan_on_nested_columns(spark):
+    register(spark)
+    lk = Lake(spark)
+    leaf = [("a", "int32"), ("b", "varchar")]
+    t = lk.add_table("t", [("id", "int64"), ("s", "struct", leaf), ("l", "list", [("element", "struct", [("x", "int32")])]), ("m", "map", [("key", "varchar"), ("value", "timestamp_ns")])])
+    kind = "id long, s struct<a int, b string>, l array<struct<x int>>, m map<string, long>"
+    made = [(1, (1, "p"), [(1,), None], {"k": -1}), (2, None, None, None), (3, (None, None), [], {}), (4, (4, "q"), [(4,)], {"k": None, "j": 1_500_000_000_123_456_789})]
+    lk.add_file(t, spark.createDataFrame(made, kind))
+    lk.take_snapshot()
+    lk.change_column(t, "a", "renamed")
+    lk.change_column(t, "x", kind="int64")
+    lk.add_column(t, "c", "double", parent=lk.column_id(t, "s"))
+    source = spark.read.format("tidelake").options(catalog=lk.catalog, table="t").load()
+    direct = scan(spark, lk.catalog, "t")
+    assert source.schema.simpleString() == direct.schema.simpleString()
+    key = lambda r: r.id
+    assert sorted(source.collect(), key=key) == sorted(direct.collect(), key=key)
+
+
+def test_a_broken_catalog_is_not_taken_for_a_missing_relation(spark):
+    lk = Lake(spark)
+    lk.add_file(lk.add_table("t", [("id", "int64")]), spark.range(2))
+
+    class Failing(Counting):
+        def cursor(self):
+            inner = super().cursor()
+
+            class Cursor:
+                def execute(self, sql, values=()):
+                    if "ducklake_inlined_data_tables" in (*values, sql):
+                        raise OSError("timed out")
+                    return inner.execute(sql, values)
+
+                fetchall, close = staticmethod(inner.fetchall), staticmethod(inner.close)
+
+            return Cursor()
+
+    with pytest.raises(OSError):
+        scan(spark, Factory(lambda: Failing(lk.path, []), kind="sqlite"), "t")
+
+
+class ServerConnection(Counting):
+    """SQLite behind the ways of another driver: its marks, quotes and list of columns."""
+
+    def cursor(self):
+        inner = super().cursor()
+
+        class Cursor:
+            def execute(self, sql, values=()):
+                assert "?" not in sql and "pragma" not in sql
+                sql = sql.replace("%s", "?")
+                return inner.execute("SELECT name FROM pragma_table_info(?)" if "information_schema" in sql else sql, values)
+
+            fetchall, close = staticmethod(inner.fetchall), staticmethod(inner.close)
+
+        return Cursor()
+
+
+@pytest.mark.parametrize(("module", "text"), [("psycopg", "ducklake:postgres:dbname=lake host=db user=u"), ("pymysql", "ducklake:mysql:database=lake port=3307")])
+def test_server_catalogs_through_their_drivers(spark, monkeypatch, module, text):
+    import sys
+    import types
+
+    lk = Lake(spark)
+    t = lk.add_table("t", [("id", "int64")])
+    lk.add_file(t, spark.range(5), stats=["id"])
+    log, driver = [], types.ModuleType(module)
+    kind = type("Connection", (ServerConnection,), {"__module__": module})
+    driver.paramstyle = "pyformat"
+    driver.connect = lambda **given: log.append(given) or kind(lk.path, log)
+    monkeypatch.setitem(sys.modules, module, driver)
+    assert rows(scan(spark, text, "t", where="id > 2")) == [(3,), (4,)]
+    assert log[0]["host"] in ("db", "localhost") and ("port" not in log[0] or log[0]["port"] == 3307)
+    assert any("`key`" in x if module == "pymysql" else '"key"' in x for x in log[1:])
+    # the same as a prebuilt connection, left open, and as a function
+    log.clear()
+    open_ = kind(lk.path, log)
+    assert rows(scan(spark, open_, "t")) == rows(scan(spark, lambda: kind(lk.path, log), "t")) and open_.inner.execute("SELECT 1").fetchone() == (1,)
+
+
+def test_connections_of_unknown_drivers_need_a_kind(three):
+    class Unknown:
+        def cursor(self): ...
+
+        def close(self): ...
+
+    with pytest.raises(ValueError, match="kind"):
+        with Catalog(lambda: Unknown()):
+            pass
+
+
 def test_history_of_a_missing_table(three):
     with Catalog(three.catalog) as c:
         assert c.history(Table(999, None, True)) == [] and c.data_files(Table(999, None, True), 1) == []

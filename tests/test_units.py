@@ -1,6 +1,7 @@
 """Connection strings, paths, types, pruning rules: no Spark job."""
 
 import datetime as dt
+import sys
 
 import pytest
 from hypothesis import given
@@ -45,11 +46,13 @@ def test_bad_connection_strings(text):
         parse(text)
 
 
-def test_resolve():
+def test_resolve(monkeypatch):
     assert resolve("ducklake:sqlite:a.db") is resolve("ducklake:sqlite:a.db")
     assert isinstance(resolve(lambda: None), Factory)
     with pytest.raises(TypeError):
         resolve(3)
+    for name in ("psycopg", "pymysql"):
+        monkeypatch.setitem(sys.modules, name, None)  # as if it were not installed
     with pytest.raises(ImportError):
         parse("ducklake:postgres:dbname=x").connect()
     with pytest.raises(ImportError):
@@ -79,6 +82,8 @@ def test_path_without_base():
 
 def test_object_store_names():
     assert paths.hadoop("s3://b/k") == "s3a://b/k" and paths.hadoop("/a/b") == "/a/b"
+    account = paths.account({"AZURE_STORAGE_ACCOUNT_NAME": "acc"})
+    assert paths.hadoop("az://box/x/y", account) == "abfs://box@acc.dfs.core.windows.net/x/y" and paths.hadoop("az://box/x") == "abfs://box/x"
     got = paths.reader_options({"aws_access_key_id": "k", "aws_allow_http": "true", "aws_virtual_hosted_style_request": "false", "other": 1})
     assert got == {"fs.s3a.access.key": "k", "fs.s3a.connection.ssl.enabled": "false", "fs.s3a.path.style.access": "true", "other": "1"}
 

@@ -10,8 +10,9 @@ from tidelake.sources.types import Node, normal, spark_type
 
 
 def uuid_text(column: Column) -> Column:
-    """16 bytes as 8-4-4-4-12 hexadecimal digits."""
-    return F.regexp_replace(F.lower(F.hex(column)), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    """16 bytes as 8-4-4-4-12 hexadecimal digits; files may hold the digits themselves."""
+    digits = F.regexp_replace(F.lower(F.hex(column)), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    return F.when(F.octet_length(column) == 16, digits).otherwise(column.cast("string"))
 
 
 def from_nanoseconds(column: Column) -> Column:
@@ -28,22 +29,22 @@ def null_of(node: Node) -> Column:
     return F.lit(None).cast(spark_type(node))
 
 
-def convert(column: Column, file: Node, table: Node, uuid_bytes: bool = False, maps_as_lists: bool = False) -> Column:
+def convert(column: Column, file: Node, table: Node, maps_as_lists: bool = False) -> Column:
     """A column written as `file`, in the shape of `table`; fields are matched by id, whatever their names."""
     kind, wanted = normal(file.type), normal(table.type)
     if kind not in ("list", "struct", "map"):
-        if kind == "uuid" and uuid_bytes:
+        if kind == "uuid":
             column = uuid_text(column)
         if kind == "timestamp_ns":
             column = from_nanoseconds(column)
         have, want = spark_type(file), spark_type(table)
         return column if have == want else column.cast(want)
-    again = lambda c, a, b: convert(c, a, b, uuid_bytes, maps_as_lists)
+    again = lambda c, a, b: convert(c, a, b, maps_as_lists)
     if kind == "map" and maps_as_lists:
         key, value = (next(c for c in file.children if c.name == n) for n in ("key", "value"))
         tkey, tvalue = (next(c for c in table.children if c.name == n) for n in ("key", "value"))
         return F.map_from_entries(F.transform(column, lambda e: F.struct(again(e.getField("key"), key, tkey).alias("key"), again(e.getField("value"), value, tvalue).alias("value"))))
-    if wanted == kind and unchanged(file, table, uuid_bytes):
+    if wanted == kind and unchanged(file, table):
         return column
     if kind == "list":
         return F.transform(column, lambda e: again(e, file.children[0], table.children[0]))
@@ -56,7 +57,7 @@ def convert(column: Column, file: Node, table: Node, uuid_bytes: bool = False, m
     return F.when(column.isNull(), F.lit(None).cast(spark_type(table))).otherwise(F.struct(*fields))
 
 
-def unchanged(file: Node, table: Node, uuid_bytes: bool = False) -> bool:
+def unchanged(file: Node, table: Node) -> bool:
     """Whether the file's value can be handed on as it is."""
     if normal(file.type) in ("list", "struct", "map"):
         pairs = list(zip(file.children, table.children))
@@ -64,16 +65,16 @@ def unchanged(file: Node, table: Node, uuid_bytes: bool = False) -> bool:
             same = [(a.column_id, a.name) for a in file.children] == [(b.column_id, b.name) for b in table.children]
         else:
             same = len(file.children) == len(table.children)
-        return normal(file.type) == normal(table.type) and same and all(unchanged(a, b, uuid_bytes) for a, b in pairs)
+        return normal(file.type) == normal(table.type) and same and all(unchanged(a, b) for a, b in pairs)
     kind = normal(file.type)
-    return kind != "timestamp_ns" and not (kind == "uuid" and uuid_bytes) and spark_type(file) == spark_type(table)
+    return kind not in ("timestamp_ns", "uuid") and spark_type(file) == spark_type(table)
 
 
-def physical(node: Node, uuid_bytes: bool = False, maps_as_lists: bool = False) -> T.DataType:
+def physical(node: Node, maps_as_lists: bool = False) -> T.DataType:
     """What to declare to the Parquet reader for a file's column."""
-    if normal(node.type) == "uuid" and uuid_bytes:
-        return T.BinaryType()
-    of = lambda c: physical(c, uuid_bytes, maps_as_lists)
+    if normal(node.type) == "uuid":
+        return T.BinaryType()  # of 16 bytes or of digits
+    of = lambda c: physical(c, maps_as_lists)
     kind = normal(node.type)
     if kind == "list":
         return T.ArrayType(of(node.children[0]))

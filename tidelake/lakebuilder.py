@@ -203,9 +203,11 @@ class Lake:
 
 
 def shared(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir), else a temporary one for this machine."""
+    """The folder that the cluster shares (spark.checkpoint.dir); on a local master, without one, a temporary folder."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         found = "file://" + tempfile.mkdtemp(prefix="tidelake-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -423,6 +423,37 @@ def partition_null_value(spark, sf_dir):
     return scan(spark, partitioned(spark, sf_dir).catalog, "events", where="event_type is null").agg(F.count("*").alias("n"))
 
 
+@lake
+def finely_partitioned(lk: Lake, read, sf_dir: str) -> None:
+    """More partition values than branches that a union may cost."""
+    df = read("events").withColumn("slot", (F.col("event_id") % 70).cast("int"))
+    t = lk.add_table("events", columns_of(df.schema))
+    p = lk.add_partition(t, ("slot", "identity"))
+    for k in range(70):
+        lk.add_file(t, df.where(F.col("slot") == k), partition=(p, [str(k)]))
+
+
+@query("partition_many_values", "SELECT event_id, event_id % 70 AS slot FROM events WHERE event_id % 70 = 33")
+def partition_many_values(spark, sf_dir):
+    df = scan(spark, finely_partitioned(spark, sf_dir).catalog, "events").where("slot = 33")
+    assert len(df.inputFiles()) <= 2
+    return df.select("event_id", F.col("slot").cast("long").alias("slot"))
+
+
+@lake
+def zoned(lk: Lake, read, sf_dir: str) -> None:
+    df = read("events").select("event_id", F.col("ts").cast("timestamp").alias("at"))
+    t = lk.add_table("moments", columns_of(df.schema))
+    low, high = df.agg(F.expr("percentile_approx(event_id, array(0.33, 0.66))")).first()[0]
+    for part in (df.where(F.col("event_id") < low), df.where((F.col("event_id") >= low) & (F.col("event_id") < high)), df.where(F.col("event_id") >= high)):
+        lk.add_file(t, part, stats=["event_id", "at"])
+
+
+@query("prune_timestamptz", "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-01 12:00:00'")
+def prune_timestamptz(spark, sf_dir):
+    return scan(spark, zoned(spark, sf_dir).catalog, "moments", where="at >= timestamp'2024-01-01 12:00:00+00:00'").select("event_id")
+
+
 # -- types ------------------------------------------------------------------------------------------
 
 
@@ -503,6 +534,52 @@ def timestamp_ns(spark, sf_dir):
     return scan(spark, nested(spark, sf_dir).catalog, "nanos")
 
 
+@lake
+def typed(lk: Lake, read, sf_dir: str) -> None:
+    p = read("part")
+    df = p.select(
+        "p_partkey",
+        F.unhex(F.md5("p_name")).alias("code"),
+        F.col("p_retailprice").cast("decimal(12,2)").alias("price"),
+        F.col("p_size").cast("smallint").alias("small"),
+        F.col("p_partkey").cast("decimal(20,0)").alias("large"),
+        F.col("p_name").cast("binary").alias("raw"),
+        (F.col("p_partkey") * 1000).alias("clock"),
+        F.expr("date_add(date'2020-01-01', p_size)").alias("day"),
+    )
+    kinds = [("p_partkey", "int64"), ("code", "uuid"), ("price", "decimal(12,2)"), ("small", "utinyint"), ("large", "ubigint"), ("raw", "blob"), ("clock", "timetz"), ("day", "date")]
+    t = lk.add_table("typed", kinds)
+    lk.add_file(t, df.where("p_partkey % 3 = 0"), stats=["price", "day"])
+    # another writer keeps uuids as digits
+    digits = F.regexp_replace(F.md5("p_name"), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    lk.add_file(t, df.join(p.select("p_partkey", digits.alias("digits")), "p_partkey").where("p_partkey % 3 = 1").withColumn("code", F.col("digits")).drop("digits"), stats=["price", "day"])
+    lk.take_snapshot()
+    lk.add_column(t, "grade", "int32", default="7")
+    lk.add_file(t, df.where("p_partkey % 3 = 2").withColumn("grade", F.lit(1)), stats=["price", "day"])
+
+
+_TYPED = """SELECT p_partkey, regexp_replace(md5(p_name), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\\1-\\2-\\3-\\4-\\5') AS code,
+    CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS price, CAST(p_size AS BIGINT) AS small, p_partkey AS large, p_name AS raw,
+    p_partkey * 1000 AS clock, CAST(DATE '2020-01-01' + p_size AS VARCHAR) AS day, CASE WHEN p_partkey % 3 = 2 THEN 1 ELSE 7 END AS grade FROM part"""
+
+
+def _shown(df: DataFrame) -> DataFrame:
+    return df.select(
+        "p_partkey", "code", F.col("price").cast("double").alias("price"), F.col("small").cast("long").alias("small"), F.col("large").cast("long").alias("large"),
+        F.col("raw").cast("string").alias("raw"), "clock", F.col("day").cast("string").alias("day"), "grade",
+    )
+
+
+@query("scalar_types", _TYPED)
+def scalar_types(spark, sf_dir):
+    return _shown(scan(spark, typed(spark, sf_dir).catalog, "typed"))
+
+
+@query("prune_decimal", f"SELECT p_partkey FROM ({_TYPED}) WHERE price > 1000.50 AND day < '2020-01-20'")
+def prune_decimal(spark, sf_dir):
+    return scan(spark, typed(spark, sf_dir).catalog, "typed", where="price > 1000.50BD and day < date'2020-01-20'").select("p_partkey")
+
+
 # -- pushdown and composition -----------------------------------------------------------------------
 
 
@@ -511,6 +588,12 @@ def projection(spark, sf_dir):
     return scan(spark, split_lineitem(spark, sf_dir).catalog, "lineitem").where("l_quantity < 10").select("l_orderkey", "l_quantity")
 
 
+@query("limit_opens_few_files", "SELECT CAST(17 AS BIGINT) AS n, CAST(1 AS BIGINT) AS files")
+def limit_opens_few_files(spark, sf_dir):
+    df = scan(spark, split_lineitem(spark, sf_dir).catalog, "lineitem", limit=17)
+    return df.agg(F.count("*").alias("n")).withColumn("files", F.lit(len(df.inputFiles())).cast("long"))
+
+
 @query("limit_count", "SELECT CAST(17 AS BIGINT) AS n")
 def limit_count(spark, sf_dir):
     return scan(spark, split_lineitem(spark, sf_dir).catalog, "lineitem").limit(17).agg(F.count("*").alias("n"))
@@ -586,6 +669,42 @@ def source_format(spark, sf_dir):
     return df.where("o_orderkey > 500").select("o_orderkey", "o_orderstatus")
 
 
+def _source(spark: SparkSession, catalog: str, **options: str) -> DataFrame:
+    register(spark)
+    return spark.read.format("tidelake").option("catalog", catalog).options(**options).load()
+
+
+@query("source_evolved", _EVOLVED + " WHERE c_custkey % 6 <> 0")
+def source_evolved(spark, sf_dir):
+    return _source(spark, evolved(spark, sf_dir).catalog, table="customer")
+
+
+@query("source_types", _TYPED)
+def source_types(spark, sf_dir):
+    return _shown(_source(spark, typed(spark, sf_dir).catalog, table="typed"))
+
+
+@query("source_nested", "SELECT event_id, value AS worth, CASE WHEN event_id % 2 = 1 THEN 'new' END AS grade FROM events")
+def source_nested(spark, sf_dir):
+    return _source(spark, nested(spark, sf_dir).catalog, table="structs").select("event_id", "payload.inner.worth", "payload.inner.grade")
+
+
+@query("source_map_as_list", "SELECT event_id, user_id AS own, CAST(1 AS BIGINT) AS one FROM events")
+def source_map_as_list(spark, sf_dir):
+    df = _source(spark, nested(spark, sf_dir).catalog, table="listmaps")
+    return df.select("event_id", F.map_values("attrs")[0].alias("own"), F.col("attrs")["one"].alias("one"))
+
+
+@query("source_timestamp_ns", "SELECT event_id, ts AS at FROM events")
+def source_timestamp_ns(spark, sf_dir):
+    return _source(spark, nested(spark, sf_dir).catalog, table="nanos")
+
+
+@query("source_projection", "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n FROM embeddings WHERE vec_id % 3 = 0")
+def source_projection(spark, sf_dir):
+    return _source(spark, nested(spark, sf_dir).catalog, table="embeddings").where("vec_id % 3 = 0").select("vec_id", F.size("embedding").alias("n"))
+
+
 @query("source_format_deletes", "SELECT * FROM lineitem WHERE NOT (l_orderkey % 7 = 0) AND NOT (l_orderkey % 2 = 1 AND l_orderkey % 5 = 0)")
 def source_format_deletes(spark, sf_dir):
     register(spark)

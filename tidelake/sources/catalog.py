@@ -87,6 +87,15 @@ def utc(value: Any) -> dt.datetime:
     return value.astimezone(dt.UTC).replace(tzinfo=None) if value.tzinfo else value
 
 
+#: The names of a relation's columns, by kind of database.
+_COLUMNS_OF = {
+    "sqlite": "SELECT name FROM pragma_table_info(?)",
+    "duckdb": "SELECT column_name FROM information_schema.columns WHERE table_name = ?",
+    "postgres": "SELECT column_name FROM information_schema.columns WHERE table_schema = ANY(current_schemas(false)) AND table_name = ?",
+    "mysql": "SELECT column_name FROM information_schema.columns WHERE table_schema = database() AND table_name = ?",
+}
+
+
 class Catalog:
     """A short-lived connection to a metadata catalog; use it in a `with` statement, again if need be."""
 
@@ -96,11 +105,13 @@ class Catalog:
 
     def __enter__(self) -> Catalog:
         self._connection = self.spec.connect()
+        self.spec = self.spec.of(self._connection)
         return self
 
     def __exit__(self, *_: object) -> None:
         connection, self._connection = self._connection, None
-        connection.close()
+        if self.spec.owned:
+            connection.close()
 
     def rows(self, sql: str, *values: Any) -> list[tuple]:
         if self._connection is None:
@@ -112,25 +123,17 @@ class Catalog:
         finally:
             cursor.close()
 
-    def has(self, relation: str, columns: str = "1") -> bool:
-        try:
-            self.rows(f"SELECT {columns} FROM {self.q(relation)} WHERE 1 = 0")
-        except RuntimeError:
-            raise
-        except Exception:  # every driver has its own error for a missing relation
-            if hasattr(self._connection, "rollback"):
-                try:
-                    self._connection.rollback()
-                except Exception:
-                    pass
-            return False
-        return True
+    def has(self, relation: str, column: str | None = None) -> bool:
+        """Whether a relation, and a column of it, exists, by the database's own list; any failure is raised."""
+        found = {str(r[0]).lower() for r in self.rows(_COLUMNS_OF.get(self.spec.kind, _COLUMNS_OF["duckdb"]), relation)}
+        return column.lower() in found if column else bool(found)
 
     def q(self, name: str) -> str:
         mark = self.spec.quote
         return mark + name.replace(mark, mark * 2) + mark
 
     _VISIBLE = "begin_snapshot <= ? AND (end_snapshot IS NULL OR ? < end_snapshot)"
+    _OF_VISIBLE = f"data_file_id IN (SELECT data_file_id FROM {P}data_file WHERE table_id = ? AND {_VISIBLE})"
 
     def snapshot(self, snapshot_id: int | None = None, as_of: Any = None) -> int:
         """The latest snapshot, the one given, or the latest at or before a time."""
@@ -165,7 +168,7 @@ class Catalog:
 
     def history(self, table: Table) -> list[ColumnRow]:
         """Every column the table ever had, nested ones too, in order."""
-        default = "initial_default" if self.has(f"{P}column", "initial_default") else "NULL"
+        default = "initial_default" if self.has(f"{P}column", "initial_default") else "NULL"  # of later versions of the format
         sql = f"SELECT column_id, begin_snapshot, end_snapshot, column_order, column_name, column_type, parent_column, {default} FROM {P}column WHERE table_id = ? ORDER BY column_order, column_id"
         return [ColumnRow(*r) for r in self.rows(sql, table.table_id)]
 
@@ -203,13 +206,13 @@ class Catalog:
             found.setdefault(data_file, []).append(DeleteFile(path, bool(relative), count))
         return [replace(f, deletes=tuple(found.get(i, ()))) for i, f in files.items()]
 
-    def stats(self, table: Table, columns: list[int]) -> dict[tuple[int, int], Stats]:
-        """Statistics by (file, column)."""
+    def stats(self, table: Table, columns: list[int], snapshot: int) -> dict[tuple[int, int], Stats]:
+        """Statistics by (file, column), of the files visible at the snapshot."""
         if not columns:
             return {}
         marks = ", ".join("?" * len(columns))
-        sql = f"SELECT data_file_id, column_id, null_count, min_value, max_value, contains_nan FROM {P}file_column_stats WHERE table_id = ? AND column_id IN ({marks})"
-        return {(f, c): Stats(n, low, high, nan not in (None, 0, False, "0", "false")) for f, c, n, low, high, nan in self.rows(sql, table.table_id, *columns)}
+        sql = f"SELECT data_file_id, column_id, null_count, min_value, max_value, contains_nan FROM {P}file_column_stats WHERE table_id = ? AND column_id IN ({marks}) AND {self._OF_VISIBLE}"
+        return {(f, c): Stats(n, low, high, nan not in (None, 0, False, "0", "false")) for f, c, n, low, high, nan in self.rows(sql, table.table_id, *columns, table.table_id, snapshot, snapshot)}
 
     def partition_spec(self, table: Table, snapshot: int) -> tuple[int | None, list[PartitionField]]:
         """The partitioning in force at the snapshot; columns are those of this table."""
@@ -219,9 +222,9 @@ class Catalog:
         rows = self.rows(f"SELECT partition_key_index, column_id, transform FROM {P}partition_column WHERE partition_id = ? ORDER BY partition_key_index", info[0][0])
         return info[0][0], [PartitionField(*r) for r in rows]
 
-    def partition_values(self, table: Table) -> dict[tuple[int, int], str | None]:
-        """Values by (file, key index)."""
-        rows = self.rows(f"SELECT data_file_id, partition_key_index, partition_value FROM {P}file_partition_value WHERE table_id = ?", table.table_id)
+    def partition_values(self, table: Table, snapshot: int) -> dict[tuple[int, int], str | None]:
+        """Values by (file, key index), of the files visible at the snapshot."""
+        rows = self.rows(f"SELECT data_file_id, partition_key_index, partition_value FROM {P}file_partition_value WHERE table_id = ? AND {self._OF_VISIBLE}", table.table_id, table.table_id, snapshot, snapshot)
         return {(f, k): v for f, k, v in rows}
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 import shlex
+import sys
 import threading
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 from urllib.parse import unquote, urlsplit
 
@@ -21,6 +22,10 @@ class CatalogSpec:
     kind: str  # sqlite, duckdb, postgres, mysql
     path: str = ""
     params: tuple[tuple[str, str], ...] = field(default=())
+    owned = True
+
+    def of(self, connection: Any) -> CatalogSpec:
+        return self
 
     @property
     def quote(self) -> str:
@@ -88,7 +93,7 @@ def parse(text: str) -> CatalogSpec:
         if colon and kind in ("postgres", "mysql"):
             return _server(kind, _pairs(rest, kind))
         if colon and kind == "postgresql":
-            raise ValueError(f"unsupported backend prefix 'postgresql:'; use {NATIVE_PREFIX}postgres:...")
+            raise ValueError(f"{kind!r} is written {NATIVE_PREFIX}postgres:...")
         if not body:
             raise ValueError(f"{NATIVE_PREFIX} needs a path or a backend after it")
         return CatalogSpec("duckdb", body)
@@ -107,18 +112,37 @@ _specs: dict[str, CatalogSpec] = {}
 _lock = threading.Lock()
 
 
+#: Kinds of database by the first name of a driver's module.
+_DRIVERS = {"sqlite3": "sqlite", "duckdb": "duckdb", "_duckdb": "duckdb", "psycopg": "postgres", "psycopg2": "postgres", "pg8000": "postgres", "pymysql": "mysql", "MySQLdb": "mysql", "mysql": "mysql"}
+_MARKS = {"qmark": "?", "format": "%s", "pyformat": "%s"}
+
+
 @dataclass(frozen=True)
 class Factory:
-    """A caller's own way to connect; bypasses the parsing of strings."""
+    """A caller's own way to connect; bypasses the parsing of strings.
+
+    What is not given is told by the connection: its driver's kind, and how that driver marks bound values.
+    owned: whether connections are closed after use.
+    """
 
     connect: Callable[[], Any]
-    kind: str = "sqlite"
-    quote: str = '"'
-    mark: str = "?"
+    kind: str = ""
+    quote: str = ""
+    mark: str = ""
+    owned: bool = True
+
+    def of(self, connection: Any) -> Factory:
+        """With the kind, quote and mark that the connection's driver has."""
+        module = sys.modules.get(type(connection).__module__.partition(".")[0])
+        kind = self.kind or _DRIVERS.get(type(connection).__module__.partition(".")[0], "")
+        if not kind:
+            raise ValueError(f"connections of {type(connection).__module__!r} are not known: give Factory(connect, kind=...)")
+        mark = self.mark or ("?" if kind in ("sqlite", "duckdb") else _MARKS.get(getattr(module, "paramstyle", ""), "%s"))
+        return replace(self, kind=kind, mark=mark, quote=self.quote or ("`" if kind == "mysql" else '"'))
 
 
 def resolve(catalog: Any) -> CatalogSpec | Factory:
-    """A string, a specification, a `Factory`, or a function that returns a DB-API connection."""
+    """A string, a specification, a `Factory`, a function that returns a DB-API connection, or such a connection (left open)."""
     if isinstance(catalog, CatalogSpec | Factory):
         return catalog
     if isinstance(catalog, str):
@@ -126,6 +150,8 @@ def resolve(catalog: Any) -> CatalogSpec | Factory:
             if catalog not in _specs:
                 _specs[catalog] = parse(catalog)
             return _specs[catalog]
+    if hasattr(catalog, "cursor"):
+        return Factory(lambda: catalog, owned=False)
     if callable(catalog):
         return Factory(catalog)
     raise TypeError(f"a catalog is a connection string or a connection factory, not {type(catalog).__name__}")

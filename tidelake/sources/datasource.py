@@ -1,10 +1,11 @@
 """``spark.read.format("tidelake")``: the lazy surface.
 
-Options: catalog, table, and as wanted schema, snapshot_id, as_of, data_path, prune. Rows come through Arrow,
-so `tidelake.scan` is the faster way. With ``prune`` set to true, filters that Spark pushes rule out files
+Options: catalog, table, and as wanted schema, snapshot_id, as_of, data_path, prune, and storage options by
+their names with ``storage.`` before them. The snapshot is resolved once, when the frame is loaded. Rows come
+through Arrow, so `tidelake.scan` is the faster way; Spark does not tell such a source which columns are
+wanted, so all are read. With ``prune`` set to true, filters that Spark pushes rule out files
 (``spark.sql.python.filterPushdown.enabled`` is needed too); Spark keeps a source's pushed filters for
-all uses of one loaded frame, so set it only where a frame is used with one condition. Scalar and nested
-columns of unchanged shape are supported.
+all uses of one loaded frame, so set it only where a frame is used with one condition.
 """
 
 from __future__ import annotations
@@ -16,15 +17,17 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from tidelake.plans import layout
+from tidelake.sources import paths
 from tidelake.sources.catalog import Catalog
+from tidelake.sources.types import Node
 
 
 class FilePart(InputPartition):
-    """A data file; columns: (name in the file or None, default) by table column."""
+    """A data file; file_columns: the file's columns; up_to: the last visible row snapshot."""
 
-    def __init__(self, path: str, deletes: tuple[str, ...], columns: tuple[tuple[str | None, str | None], ...], up_to: int | None):
+    def __init__(self, path: str, deletes: tuple[str, ...], file_columns: tuple[Node, ...], up_to: int | None):
         super().__init__(path)
-        self.path, self.deletes, self.columns, self.up_to = path, deletes, columns, up_to
+        self.path, self.deletes, self.file_columns, self.up_to = path, deletes, file_columns, up_to
 
 
 class LakeSource(DataSource):
@@ -32,12 +35,19 @@ class LakeSource(DataSource):
     def name(cls) -> str:
         return "tidelake"
 
+    @property
+    def storage(self) -> dict[str, str]:
+        return {k[len("storage.") :]: v for k, v in self.options.items() if k.lower().startswith("storage.")}
+
     def _identity(self) -> tuple[layout.Identity, str | None]:
-        o = self.options
-        snapshot = int(o["snapshot_id"]) if "snapshot_id" in o else None
-        with Catalog(o["catalog"]) as c:
-            identity = layout.identify(c, o["table"], o.get("schema"), snapshot, o.get("as_of"))
-            return identity, o.get("data_path") or c.data_path()
+        """Resolved at the first call and kept: Spark hands this object on from the schema to the reader."""
+        if "_pinned" not in self.__dict__:
+            o = self.options
+            snapshot = int(o["snapshot_id"]) if "snapshot_id" in o else None
+            with Catalog(o["catalog"]) as c:
+                identity = layout.identify(c, o["table"], o.get("schema"), snapshot, o.get("as_of"))
+                self.__dict__["_pinned"] = identity, o.get("data_path") or c.data_path()
+        return self.__dict__["_pinned"]
 
     def schema(self) -> StructType:
         return self._identity()[0].struct
@@ -45,7 +55,7 @@ class LakeSource(DataSource):
     def reader(self, schema: StructType) -> DataSourceReader:
         identity, base = self._identity()
         kind = PruningReader if self.options.get("prune", "").lower() == "true" else LakeReader
-        return kind(self.options["catalog"], identity, base, schema)
+        return kind(self.options["catalog"], identity, base, schema, self.storage)
 
 
 _NAMES = {"EqualTo": "eq", "LessThan": "lt", "LessThanOrEqual": "le", "GreaterThan": "gt", "GreaterThanOrEqual": "ge", "In": "in", "IsNull": "null", "IsNotNull": "notnull", "StringStartsWith": "starts"}
@@ -62,22 +72,19 @@ def _clause(f: Any) -> tuple | None:
 
 
 class LakeReader(DataSourceReader):
-    def __init__(self, catalog: str, identity: layout.Identity, base: str | None, schema: StructType):
-        self.catalog, self.identity, self.base, self.table_schema = catalog, identity, base, schema
+    def __init__(self, catalog: str, identity: layout.Identity, base: str | None, schema: StructType, storage: dict[str, str]):
+        self.catalog, self.identity, self.base, self.table_schema, self.storage = catalog, identity, base, schema, storage
         self.clauses: list[tuple | None] = []
 
     def partitions(self) -> list[InputPartition]:
         with Catalog(self.catalog) as c:
             files, _ = layout.candidates(c, self.identity, self.clauses)
-        out = []
-        for g in layout.groups(self.identity, files, {}):
-            by = {c.column_id: c for c in g.file_columns}
-            columns = tuple((by[c.column_id].name, None) if c.column_id in by else (None, c.default) for c in self.identity.columns)
-            for f in g.files:
-                deletes = tuple(layout.full_path(self.identity, self.base, d.path, d.relative) for d in f.deletes)
-                path = layout.full_path(self.identity, self.base, f.path, f.relative)
-                out.append(FilePart(path, deletes, columns, self.identity.snapshot if g.partial else None))
-        return out
+        full = lambda x: layout.full_path(self.identity, self.base, x.path, x.relative, paths.account(self.storage))
+        return [
+            FilePart(full(f), tuple(full(d) for d in f.deletes), g.file_columns, self.identity.snapshot if g.partial else None)
+            for g in layout.groups(self.identity, files, {})
+            for f in g.files
+        ]
 
     def read(self, partition: FilePart) -> Iterator[Any]:
         import numpy as np
@@ -86,28 +93,30 @@ class LakeReader(DataSourceReader):
         import pyarrow.parquet as pq
         from pyspark.sql.pandas.types import to_arrow_schema
 
+        from tidelake.functions.arrow import convert, default_of
+
         if partition is None or not hasattr(partition, "path"):
             return
         wanted = to_arrow_schema(self.table_schema)
         gone = np.zeros(0, np.int64)
         for d in partition.deletes:
-            gone = np.concatenate([gone, _open(pq, d).read(columns=["pos"]).column("pos").to_numpy()])
+            gone = np.concatenate([gone, _open(pq, d, self.storage).read(columns=["pos"]).column("pos").to_numpy()])
         gone = np.unique(gone)
-        names = [n for n, _ in partition.columns if n is not None] + ([layout.ROW_SNAPSHOT] if partition.up_to is not None else [])
+        by_id = {c.column_id: c for c in partition.file_columns}
+        columns = [(by_id.get(c.column_id), c) for c in self.identity.columns]
+        names = [f.name for f, _ in columns if f is not None] + ([layout.ROW_SNAPSHOT] if partition.up_to is not None else [])
         at = 0
-        for batch in _open(pq, partition.path).iter_batches(columns=names):
+        for batch in _open(pq, partition.path, self.storage).iter_batches(columns=names):
             keep = np.ones(batch.num_rows, bool)
             lo, hi = np.searchsorted(gone, [at, at + batch.num_rows])
             keep[gone[lo:hi] - at] = False
             at += batch.num_rows
-            table = pa.Table.from_batches([batch]).filter(pa.array(keep))
             if partition.up_to is not None:
-                table = table.filter(pc.less_equal(table.column(layout.ROW_SNAPSHOT), partition.up_to))
-            columns = []
-            for (name, default), field in zip(partition.columns, wanted):
-                column = table.column(name) if name is not None else pa.chunked_array([pa.nulls(table.num_rows) if default is None else pa.array([default] * table.num_rows)])
-                columns.append(column.cast(field.type))
-            yield from pa.table(columns, schema=wanted).to_batches()
+                keep &= pc.less_equal(batch.column(layout.ROW_SNAPSHOT), partition.up_to).fill_null(False).to_numpy(zero_copy_only=False)
+            if not keep.all():
+                batch = batch.filter(pa.array(keep))
+            arrays = [default_of(c, batch.num_rows, k.type) if f is None else convert(batch.column(f.name), f, c, k.type) for (f, c), k in zip(columns, wanted)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=wanted)
 
 
 class PruningReader(LakeReader):
@@ -116,14 +125,24 @@ class PruningReader(LakeReader):
         return filters  # all are applied to rows again
 
 
-def _open(pq: Any, path: str) -> Any:
+def _open(pq: Any, path: str, storage: dict[str, str]) -> Any:
     from pyarrow import fs
 
+    if path.startswith(("s3a://", "s3://")) and storage:
+        low = {k.lower(): v for k, v in storage.items()}
+        given = {a: low[k] for k, a in _S3_OPTIONS.items() if k in low}
+        if "aws_allow_http" in low:
+            given["scheme"] = "http" if low["aws_allow_http"].lower() in ("true", "1") else "https"
+        return pq.ParquetFile(fs.S3FileSystem(**given).open_input_file(path.partition("://")[2]))
     if "://" in path or path.startswith("file:"):
         store, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://"))
         return pq.ParquetFile(store.open_input_file(inner))
     return pq.ParquetFile(path)
 
 
+#: Storage options by what Arrow's reader calls them. Fixed values.
+_S3_OPTIONS = {"aws_access_key_id": "access_key", "aws_secret_access_key": "secret_key", "aws_session_token": "session_token", "aws_region": "region", "aws_endpoint_url": "endpoint_override", "aws_endpoint": "endpoint_override"}
+
+
 def register(spark) -> None:
     spark.dataSource.register(LakeSource)

@@ -46,9 +46,22 @@ _HADOOP_OPTIONS = {
 }
 
 
-def hadoop(path: str) -> str:
+def hadoop(path: str, account: str | None = None) -> str:
+    """The path as Hadoop writes it; a container of an object store that has accounts gets its account, where one is given."""
     scheme, sep, rest = path.partition("://")
-    return f"{_HADOOP_SCHEMES.get(scheme, scheme)}://{rest}" if sep else path
+    if not sep:
+        return path
+    name = _HADOOP_SCHEMES.get(scheme, scheme)
+    container, slash, inside = rest.partition("/")
+    if name in ("abfs", "abfss") and account and "@" not in container:
+        rest = f"{container}@{account}.dfs.core.windows.net{slash}{inside}"
+    return f"{name}://{rest}"
+
+
+def account(storage: dict[str, str] | None) -> str | None:
+    """The storage account that options name."""
+    low = {k.lower(): v for k, v in (storage or {}).items()}
+    return next((str(low[k]) for k in ("azure_storage_account_name", "account_name") if low.get(k)), None)
 
 
 def reader_options(storage: dict[str, str] | None) -> dict[str, str]:

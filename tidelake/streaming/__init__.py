@@ -31,6 +31,7 @@ def new_rows(
     files = [f for f in files if f.begin > after]
     if any(f.partial_max is not None for f in files):
         raise NotImplementedError("a file added since then was merged from older ones")
-    resolve = lambda path, relative: layout.full_path(identity, base, path, relative)
-    parts = [read_group(spark, identity, g, resolve, paths.reader_options(storage_options)) for g in layout.groups(identity, files, exact)]
+    exact, account = {f.file_id: exact.get(f.file_id, ()) for f in files}, paths.account(storage_options)
+    resolve = lambda path, relative: layout.full_path(identity, base, path, relative, account)
+    parts = [part for g in layout.groups(identity, files, exact) for part in read_group(spark, identity, g, resolve, paths.reader_options(storage_options))]
     return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], identity.struct)
