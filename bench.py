@@ -3,7 +3,7 @@
 A lake is built from lineitem in $BENCH_SF_DIR: three chunks, partitioned by l_returnflag from the second
 on, a time-travel point after the second, and a sibling table that gained a column. Each workload is run
 once to warm up and five times; the fastest and the slowest are dropped and the median is kept.
-Results go to Spark's noop sink.
+Results go to Spark's noop sink. ``bench.py --compare BEFORE AFTER`` compares two result files.
 """
 
 from __future__ import annotations
@@ -61,6 +61,31 @@ def timed(make) -> tuple[float, int]:
     return statistics.median(sorted(times)[1:-1]), files
 
 
+def read_result(path: str) -> dict[str, float]:
+    """Seconds by query of a result line, or of a record that holds one under ``parsed``."""
+    text = open(path).read().strip()
+    try:
+        found = json.loads(text)
+    except ValueError:  # other lines before it
+        found = json.loads(text.splitlines()[-1])
+    return (found.get("parsed") or found)["queries"]
+
+
+def compare(before: str, after: str, threshold: float = 0.05) -> int:
+    """Prints the change of every query; 1 if one is slower by more than the threshold or missing."""
+    old, new = read_result(before), read_result(after)
+    worse = 0
+    for name in sorted({*old, *new}):
+        if name not in new or name not in old:
+            print(f"{name}: only in {before if name in old else after}")
+            worse += name not in new
+            continue
+        change = new[name] / old[name] - 1
+        worse += change > threshold
+        print(f"{name}: {old[name]:.4f} -> {new[name]:.4f} s ({change:+.1%}){' slower' if change > threshold else ''}")
+    return int(bool(worse))
+
+
 def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{CPUS}]")
@@ -74,7 +99,7 @@ def main() -> None:
     lk, point = build(spark)
     c = lk.catalog
     workloads = {
-        "tiny_limit": lambda: scan(spark, c, "trades").limit(10),
+        "tiny_limit": lambda: scan(spark, c, "trades", limit=100),
         "full_scan": lambda: scan(spark, c, "trades"),
         "predicate_partition": lambda: scan(spark, c, "trades", where="l_returnflag = 'R'"),
         "predicate_nonpartition": lambda: scan(spark, c, "trades", where="l_quantity > 45"),
@@ -91,4 +116,6 @@ def main() -> None:
 
 
 if __name__ == "__main__":
+    if sys.argv[1:2] == ["--compare"]:
+        sys.exit(compare(*sys.argv[2:4]))
     main()

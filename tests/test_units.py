@@ -181,3 +181,14 @@ def test_pruning_never_loses_a_row(values, op, x, negate):
 
 def test_keep_nothing_when_never():
     assert pruning.keep([DataFile(1, "f", True, 1, 1, None, None)], ("never",), lambda f: {}) == []
+
+
+def test_bench_comparison(tmp_path, capsys):
+    import bench
+
+    a, b = tmp_path / "a.json", tmp_path / "b.json"
+    a.write_text('{"parsed": {"queries": {"x": 1.0, "y": 2.0}}}')
+    b.write_text('log line\n{"queries": {"x": 1.04, "y": 1.0}}')
+    assert bench.compare(str(a), str(b)) == 0 and bench.compare(str(a), str(b), threshold=0.01) == 1
+    b.write_text('{"queries": {"x": 1.0}}')
+    assert bench.compare(str(a), str(b)) == 1 and "only in" in capsys.readouterr().out
