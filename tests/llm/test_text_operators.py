@@ -53,6 +53,21 @@ def test_quality_held_out(spark, sf_dir, docs):
     assert sum((s >= 0.3) == q for s, q in held) / len(held) > 0.95
 
 
+def test_scores_are_sums_of_table_entries(spark, sf_dir, docs, texts):
+    """The registered query against the tables, looked up one entry at a time."""
+    from bisect import bisect_right
+
+    from tidelake.llm.queries import queries
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    m = quality.train(docs, labels)
+    for r in queries()["op1_quality"](spark, sf_dir).collect():
+        x = [float(np.float32(v)) for v in quality.features(texts[r.doc_id].encode())]
+        total = m.base + sum(t[bisect_right(e.tolist(), v)] for t, e, v in zip(m.tables, m.edges, x))
+        total += sum(t[bisect_right(a.tolist(), x[i]), bisect_right(b.tolist(), x[j])] for (i, j), (a, b), t in zip(m.pairs, m.pair_edges, m.pair_tables))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-total)), rel=1e-6)
+
+
 def test_quality_edges(spark):
     labels = spark.createDataFrame([(1, 1, None), (1, 0, None), (4, 0, None), (5, None, None), (None, 1, None), (6, 1, 0)], "doc_id long, quality int, toxic int")
     edge = edge_docs(spark)
@@ -190,10 +205,21 @@ def test_near_duplicates_edges(spark):
     assert len(empty) == 4 and set(empty) == {-7}
     assert {r.component_id for r in rows if r.doc_id in (4, 5)} == {4}
     kept = sim.keep_one(edge)
-    assert kept.columns == edge.columns and sum(r.doc_id == 1 for r in kept.collect()) == 1
+    # two unlike texts share the number 1, two the null one; each component keeps one row
+    ids = [r.doc_id for r in kept.collect()]
+    assert kept.schema == edge.schema and ids.count(1) == 2 and ids.count(None) == 1 and len(ids) == len({r.fingerprint for r in rows})
     assert sim.near_duplicates(empty_docs(spark)).count() == 0 and sim.keep_one(empty_docs(spark)).count() == 0
 
 
+def test_one_row_of_each_component_stays_whatever_its_id(spark):
+    """Unlike texts under one id or none all stay; copies under other ids go; of equal rows one stays."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(5, a, "1"), (5, b, "2"), (None, c, "3"), (None, d, "4"), (7, a, "5"), (None, b, "6"), (9, c, "7"), (5, a, "8")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = sorted(((r.doc_id, r.text) for r in sim.keep_one(docs).collect()), key=lambda x: x[1])
+    assert kept == [(5, a), (5, b), (9, c), (None, d)]
+
+
 # -- 5 decontamination ----------------------------------------------------------------------------
 
 
@@ -258,6 +284,74 @@ def test_leaks_among_words_outside_the_benchmark(spark):
     assert {r.doc_id for r in got} == set(range(5))
 
 
+def plain_leaks(texts, items, share=0.7, share_with_answer=0.6):
+    """Every window of every size against every item, by common subsequence alone."""
+    found = set()
+    for d, text in texts.items():
+        w = decontam.words(text.encode())
+        for i, item in items.items():
+            words = decontam.words(item.encode())
+            n, answer = len(words), min(decontam.answer_words(item.encode()), len(words))
+            for k in range(0, max(1, len(w) - n // 2), max(1, n // 4)):
+                near = w[k : k + 2 * n]
+                got = decontam.common(words, near) / n
+                if got >= share or (got >= share_with_answer and decontam.common(words[-answer:], near) >= 0.8 * answer):
+                    found.add((d, i))
+                    break
+    return found
+
+
+def test_recall_against_all_pairs(spark, sf_dir, docs, texts):
+    """Items with words dropped, replaced and moved, put into real documents: nearly all that all-pairs comparison finds."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    items = {r.item_id: r.text for r in benchmark.collect() if len(decontam.words(r.text.encode())) >= 8}
+    rng, rows = random.Random(8), {}
+    hosts = [t for t in texts.values() if 40 < len(t.split()) < 400]
+    for k in range(160):
+        i = rng.choice(sorted(items))
+        w = [x.decode() for x in decontam.words(items[i].encode())]
+        if k % 4 == 1:
+            w = [x for x in w if rng.random() > 0.15]
+        elif k % 4 == 2:
+            w = [f"z{rng.randint(0, 9999)}" if rng.random() < 0.2 else x for x in w]
+        elif k % 4 == 3:
+            at = rng.randrange(len(w))
+            w = w[at:] + w[:at]
+        host = rng.choice(hosts).split()
+        at = rng.randrange(len(host))
+        rows[k] = " ".join(host[:at] + w + host[at:])
+    want = plain_leaks(rows, items)
+    both = spark.createDataFrame(list(rows.items()), "doc_id long, text string").unionByName(docs.select((F.col("doc_id") + 10_000).alias("doc_id"), "text"))
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(both, benchmark).collect() if r.doc_id < 10_000}
+    assert len(want) > 100 and len(want & got) >= 0.95 * len(want)
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    item = [b"w%d" % i for i in range(30)]
+    vocabulary = {w: i for i, w in enumerate(item)}
+    index = decontam.Index(vocabulary, [(1, list(range(30)), 5)], np.ones(30), np.eye(30, 8, dtype=np.float32), np.ones((1, 8), np.float32), (32,), -2.0, 0.7, 0.6, 8)
+    text = b" ".join([b"x" * 70, *[b"y%d" % i for i in range(200)], *item, b"z" * 300, *[b"y"] * 500, *item[:20], b"v"])
+    whole = index.ids(text)
+    hits = index.search([b"", text, b"x", b" ".join(item)])
+    monkeypatch.setattr(decontam, "_SLICE", 64)
+    monkeypatch.setattr(decontam, "_BLOCKS", 16)
+    monkeypatch.setattr(decontam, "_RUN", 1)
+    assert (index.ids(text) == whole).all() and len(whole) == len(decontam.words(text))
+    assert [h[:2] for h in hits] == [(1, 1), (3, 1)] == [h[:2] for h in index.search([b"", text, b"x", b" ".join(item)])]
+
+
+@pytest.mark.parametrize("decoys", [20, 200])
+def test_leaks_behind_many_shuffled_copies(spark, sf_dir, decoys):
+    """Documents that hold an item word for word behind shuffled copies of it: all are found."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    rng, rows = random.Random(2), []
+    for r in benchmark.collect():
+        w = [x.decode() for x in decontam.words(r.text.encode())]
+        rows.append((r.item_id, " ".join(x for _ in range(decoys) for x in rng.sample(w, len(w))) + " " + " ".join(w)))
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), benchmark).collect()}
+    assert all((i, i) in got for i, _ in rows)
+
+
 def test_a_leak_behind_decoys(spark):
     """A long document with shuffled copies of an item first; the passage itself, with words replaced, comes later."""
     rng = random.Random(5)
@@ -289,6 +383,32 @@ def test_phrase_fingerprints(docs, texts, monkeypatch):
     assert sum(r.near_edited > r.near_next for r in got.values()) > 0.97 * len(ids)
 
 
+def test_likeness_is_that_of_the_phrase_sets(spark, sf_dir, texts):
+    """near_edited and near_next of the registered query against the true share of common phrases."""
+    from tidelake.llm.queries import queries
+
+    def share(a, b):
+        x, y = phrases(a), phrases(b)
+        return len(x & y) / len(x | y) if x or y else 1.0
+
+    ids, off = sorted(texts), []
+    for r in queries()["op6_lz_fingerprint"](spark, sf_dir).collect():
+        t, following = texts[r.doc_id], texts[ids[(ids.index(r.doc_id) + 1) % len(ids)]]
+        q = len(t) // 4
+        off += [(r.near_edited - share(t, t[: len(t) - q] + following[:q]), len(t)), (r.near_next - share(t, following), min(len(t), len(following)))]
+    # 128 bins estimate a share within some hundredths, short texts with few phrases less well
+    assert np.mean([abs(d) for d, _ in off]) < 0.05 and np.mean([abs(d) < 0.15 for d, n in off if n > 400]) > 0.97
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 64])
+def test_parts_by_bisection(spark, n):
+    rng = random.Random(n)
+    cuts = sorted(rng.sample(range(-1000, 1000), n - 1))
+    keys = [rng.randint(-1100, 1100) for _ in range(200)] + cuts
+    got = spark.createDataFrame([(k,) for k in keys], "key long").select("key", lzprint._cuts_below(cuts, F.col("key")).alias("part")).collect()
+    assert all(r.part == sum(c < r.key for c in cuts) for r in got)
+
+
 @pytest.mark.parametrize("renew", [1 << 20, 7])
 def test_phrases_are_a_parse(monkeypatch, renew):
     monkeypatch.setattr(lzprint, "RENEW", renew)
@@ -387,10 +507,67 @@ def test_lm_edges(spark):
     assert (alone.train_tokens, alone.n_known, alone.score, alone.base_score) == (0, 0, 0, 0)
 
 
-def test_lm_blocks_do_not_matter(docs):
-    one = {r.doc_id: r.base_score for r in lm.score_texts(docs).collect()}
-    many = {r.doc_id: r.base_score for r in lm.score_texts(docs.repartition(5), block_bytes=20_000).collect()}
-    assert all(many[k] == pytest.approx(v, rel=1e-9) for k, v in one.items()) and len(many) == len(one)
+def plain_tree(rows, least, divergence=8.0, discount=0.75):
+    """A suffix tree over words kept in dictionaries: score of every text."""
+    train = [lm.tokens((t or "").encode()) for i, t in rows if crc_mod(i, 10)]
+    grams = {}
+    for t in train:
+        for k in range(len(t)):
+            for n in range(1, lm.ORDER + 2):
+                if k >= n - 1:
+                    g = tuple(t[k - n + 1 : k + 1])
+                    grams[g] = grams.get(g, 0) + 1
+    words = {g[0]: c for g, c in grams.items() if len(g) == 1}
+    total, once = sum(words.values()), sum(c == 1 for c in words.values())
+    unseen = min(max((once + 0.5) / (total + 1), 1e-9), 0.5)
+    kept_grams = {g: c for g, c in grams.items() if c >= least}
+    below = {}
+    for g, c in kept_grams.items():
+        if len(g) > 1 and g[:-1] in kept_grams and g[1:] in kept_grams:
+            below.setdefault(g[:-1], []).append((g, c))
+    tree = {}
+    for context, found in below.items():
+        n = kept_grams[context]
+        gain = rest = low_rest = 0.0
+        for g, c in found:
+            low = kept_grams[g[1:]] / (total if len(g) == 2 else kept_grams.get(g[1:-1], total))
+            gain += c / n * math.log(c / n / low)
+            rest, low_rest = rest + c / n, low_rest + low
+        rest, low_rest = max(1 - rest, 0), max(1 - low_rest, 1e-12)
+        gain += rest * math.log(max(rest, 1e-12) / low_rest) if rest > 0 else 0
+        if n * gain >= divergence:
+            given = {g[-1]: (c - discount) / n for g, c in found}
+            tree[context] = given, 1 - sum(given.values())
+    scores = {}
+    for i, text in rows:
+        t, score = lm.tokens((text or "").encode()), 0.0
+        for k, w in enumerate(t):
+            p = (1 - unseen) * words[w] / total if w in words else unseen
+            for n in range(1, lm.ORDER + 1):
+                context = tuple(t[k - n : k]) if k >= n else None
+                if context in tree:
+                    given, left = tree[context]
+                    p = given.get(w, 0.0) + left * p
+            score += math.log10(p)
+        scores[i] = score
+    return scores, len(tree)
+
+
+@pytest.mark.parametrize("partitions", [1, 5, 40])
+def test_scores_are_those_of_a_plain_tree(spark, docs, texts, partitions, monkeypatch):
+    """The registered query's operator, whatever the partitions and blocks, against dictionaries."""
+    want, states = plain_tree(list(texts.items()), 4)
+    got = lm.score_texts(docs.repartition(partitions), block_bytes=(14 << 20) // partitions**2)
+    assert states > 20
+    for r in got.collect():
+        assert r.score == pytest.approx(want[r.doc_id], rel=1e-9)
+
+
+def test_lm_numbers_of_any_width():
+    ids = np.array([0, 1, 255, 256, 70_000, 2**24 - 1], np.int32)
+    for width in (3, 4):
+        assert (lm.unpacked(ids.view(np.uint8).reshape(-1, 4)[:, :width].tobytes(), width) == ids).all()
+    assert lm.runs_of(np.array([3, 3, 4, 3])) == [(0, 2), (2, 3), (3, 4)] and lm.unpacked(np.array([2**30], "<i4").tobytes(), 4)[0] == 2**30
 
 
 def test_lm_candidates_met_once_in_each_block(spark):

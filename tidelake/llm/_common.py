@@ -1,4 +1,4 @@
-"""What the operators of this subpackage share: the shared folder, Arrow columns, row keys."""
+"""What the operators of this subpackage share: the shared folder, partitions, Arrow columns, row keys."""
 
 from __future__ import annotations
 
@@ -137,6 +137,12 @@ def gathered(batches: Iterable[pa.RecordBatch], column: str, size: int) -> Itera
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
+def row_key(text: str = "text", doc_id: str = "doc_id") -> list:
+    """Two columns k1, k2: 128 bits of hash over a row's id and text; only rows equal in both share them."""
+    of = [F.col(doc_id).cast("long"), F.coalesce(F.col(text).cast("string"), F.lit(""))]
+    return [F.xxhash64(F.lit(seed), *of).alias(name) for seed, name in enumerate(("k1", "k2"), 1)]
+
+
 def crc_bucket(doc_id: str, modulus: int):
     """crc32 of the id written as text, modulo `modulus` (a null id counts as empty text)."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import as_bytes, bounded_batches, in_blocks, materialise
+from tidelake.llm._common import as_bytes, bounded_batches, fewer, in_blocks, materialise, row_key
 from tidelake.llm.components import connected_components
 
 #: Bits of each of the six groups.
@@ -55,16 +55,19 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """doc_id and fp (the fingerprint's bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, shingle: int = 4, keyed: bool = False) -> DataFrame:
+    """doc_id and fp (the fingerprint's bits as a signed long) of every row; keyed: its `row_key` too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_blocks(batches, "text", 8 << 20):
             found = np.array([fingerprint(x, shingle) for x in as_bytes(batch.column("text"))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            kept = [batch.column(c) for c in names[:-1]]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(found.view(np.int64))], names=names)
 
     bounded_batches(docs.sparkSession)
-    return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, "doc_id long, fp long")
+    names = ["doc_id", *(("k1", "k2") if keyed else ()), "fp"]
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(row_key() if keyed else ()))
+    return text.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def bit_planes(fps: np.ndarray) -> np.ndarray:
@@ -219,7 +222,8 @@ def links(fps: DataFrame, radius: int = 4, block: int = 512) -> DataFrame:
     if radius > 4:
         raise ValueError("two of six bit groups agree only up to 4 differing bits")
     dealt = fps.select("fp").mapInArrow(deal, "key long, fp long").repartition("key").sortWithinPartitions("key")
-    found = materialise(dealt.mapInArrow(lambda b: _links_of(b, radius, block), "key long, a long, b long, part long"), "simhash-links")
+    found = dealt.mapInArrow(lambda b: _links_of(b, radius, block), "key long, a long, b long, part long")
+    found = materialise(fewer(found, fps), "simhash-links")
     plain = found.where("b is not null").select("a", "b")
     # buckets larger than a block: members are hashed to parts, and every two parts meet in a task of their own
     rest = found.where("b is null").select("key", F.col("a").alias("fp"))
@@ -232,26 +236,34 @@ def links(fps: DataFrame, radius: int = 4, block: int = 512) -> DataFrame:
     return plain.unionAll(between)
 
 
+def _roots(classes: DataFrame, radius: int) -> DataFrame:
+    """The columns of classes (column fp, distinct) and `root`, the smallest fingerprint that each one reaches."""
+    linked = connected_components(links(classes, radius), "simhash-components")
+    named = classes.join(linked, F.col("fp") == F.col("node"), "left").select(*classes.columns, F.coalesce("root", "fp").alias("root"))
+    return materialise(fewer(named, classes), "simhash-classes")
+
+
 def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every row."""
-    rows = materialise(fingerprints(docs, shingle), "simhash")
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
-    linked = connected_components(links(classes, radius), "simhash-components")
-    named = classes.join(linked, F.col("fp") == F.col("node"), "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
-    named = materialise(named, "simhash-classes")
+    rows = materialise(fewer(fingerprints(docs, shingle), docs), "simhash")
+    named = _roots(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), radius)
     groups = named.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("size"))
     # a fingerprint that one row has alone needs no join
     members = named.join(groups, "root").where("size > 1").select("fp", "component_id")
     out = rows.join(members, "fp", "left")
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return fewer(out, docs)
 
 
 def keep_one(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
-    """One row of each component: the one with the smallest id (one row of those that share that id)."""
-    found = near_duplicates(docs, radius, shingle).where("doc_id <=> component_id")
-    name = "kept_key"
-    while name in docs.columns:
-        name += "_"
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias(name)
-    kept = docs.select("*", key).join(found.select(key).distinct(), name).dropDuplicates([name])
-    return kept.select(*[f"`{c}`" for c in docs.columns])
+    """One row of each component, unchanged: that with the smallest id (null ids last), of equal ids that with the smallest hash of its text.
+
+    Of rows equal in id and text one stays, whatever their other columns say. Rows are told apart by 128
+    bits over id and text, so repeated and null ids neither join nor part components.
+    """
+    rows = materialise(fewer(fingerprints(docs, shingle, keyed=True), docs), "simhash")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
+    named = _roots(rows.groupBy("fp").agg(F.min(first).alias("first")), radius)
+    kept = named.groupBy("root").agg(F.min("first").alias("first")).select("first.k1", "first.k2")
+    whole = docs.select(F.struct("*").alias("row"), *row_key())
+    return fewer(whole.join(kept, ["k1", "k2"]).dropDuplicates(["k1", "k2"]), docs).select("row.*")
