@@ -22,8 +22,8 @@ anything, and to short strings:
    counted by a 128-bit hash, with partial sums, and met again in a join.
 
 Defined results: a null text is empty; texts shorter than WINDOW stay; repeated rows repeat each other,
-so all that is long enough in them goes; rows are told apart by id and text, so a repeated or null id is
-no key; an empty table gives no rows; other columns are ignored (and kept by `remove`).
+so all that is long enough in them goes; rows are told apart by 128 bits over id and text, so a repeated or
+null id is no key; an empty table gives no rows; other columns are ignored (and kept by `remove`).
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import as_bytes, bounded_batches, gathered, in_blocks, materialise
+from tidelake.llm._common import as_bytes, bounded_batches, fewer, gathered, in_blocks, materialise, row_key
 
 WINDOW = 200
 K = 64
@@ -47,7 +47,7 @@ _BUFFER = 1 << 20
 _TABLE = np.random.default_rng(0x5EED).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIXERS = np.random.default_rng(0xFEED).integers(0, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOW = np.uint64((1 << 24) - 1)
-FOUND = "kind int, kh long, sh long, doc long, tag int, place long"
+FOUND = "kind int, kh long, sh long, k1 long, k2 long, place long"
 
 
 def pack_place(start, length, anchor, several):
@@ -106,12 +106,12 @@ def find(docs: DataFrame) -> DataFrame:
                 continue
             kind, kh, sh, text, place = found
             at = pa.array(text)
-            doc, tag = batch.column("doc").take(at), batch.column("tag").take(at)
-            columns = [pa.array(kind), pa.array(kh.view(np.int64)), pa.array(sh.view(np.int64)), doc, tag, pa.array(place)]
-            yield pa.RecordBatch.from_arrays(columns, names=["kind", "kh", "sh", "doc", "tag", "place"])
+            k1, k2 = batch.column("k1").take(at), batch.column("k2").take(at)
+            columns = [pa.array(kind), pa.array(kh.view(np.int64)), pa.array(sh.view(np.int64)), k1, k2, pa.array(place)]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "kh", "sh", "k1", "k2", "place"])
 
     bounded_batches(docs.sparkSession)
-    return docs.select("doc", "tag", "text").mapInArrow(run, FOUND)
+    return docs.select("k1", "k2", "text").mapInArrow(run, FOUND)
 
 
 def find_in(texts: list[bytes]) -> tuple[np.ndarray, ...] | None:
@@ -168,7 +168,7 @@ def settle(found: DataFrame) -> DataFrame:
     """Kind 0: further places that repeat; kind 1: one row per distinct segment of a k-gram that has several."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "kh", "sh", "doc", "tag", "place"]
+        names = ["kind", "kh", "sh", "k1", "k2", "place"]
         held: list[pa.RecordBatch] = []
         open_several = False  # the k-gram held has been seen with other segments already
 
@@ -224,7 +224,7 @@ def settle(found: DataFrame) -> DataFrame:
                 marked = first.column("place").to_numpy() | 1
                 held = first.set_column(first.column_names.index("place"), "place", pa.array(marked)).to_batches()
 
-    rows = found.where("kind = 1").select("kind", "kh", "sh", "doc", "tag", "place")
+    rows = found.where("kind = 1").select("kind", "kh", "sh", "k1", "k2", "place")
     return rows.repartition("kh").sortWithinPartitions("kh", "sh").mapInArrow(run, FOUND)
 
 
@@ -268,7 +268,7 @@ def repeated_windows(texts: list[bytes], anchors: np.ndarray) -> np.ndarray:
 
 
 def _columns_of(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
-    """Rows (kh, doc, tag, place, seg) sorted by kh -> spans (doc, tag, start, stop)."""
+    """Rows (kh, k1, k2, place, seg) sorted by kh -> spans (k1, k2, start, stop)."""
     held: list[pa.RecordBatch] = []
 
     def out(table: pa.Table) -> pa.RecordBatch:
@@ -281,8 +281,8 @@ def _columns_of(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Re
         _, end = np.nonzero(edge == -1)
         origin = start[row] - (_GRAMS - 1 - anchor[row])
         at = pa.array(row)
-        columns = [table.column("doc").take(at).combine_chunks(), table.column("tag").take(at).combine_chunks(), pa.array(origin + begin), pa.array(origin + end - 1 + WINDOW)]
-        return pa.RecordBatch.from_arrays(columns, names=["doc", "tag", "start", "stop"])
+        columns = [table.column("k1").take(at).combine_chunks(), table.column("k2").take(at).combine_chunks(), pa.array(origin + begin), pa.array(origin + end - 1 + WINDOW)]
+        return pa.RecordBatch.from_arrays(columns, names=["k1", "k2", "start", "stop"])
 
     for batch in itertools.chain(batches, [None]):
         if batch is not None:
@@ -316,55 +316,57 @@ def _windows_of(text: bytes) -> list[tuple[int, int]]:
 
 
 def repeated_spans(docs: DataFrame, chunk: int = 4096, hot: int = 16_384) -> DataFrame:
-    """(doc, tag, spans): for each text that has any, the byte ranges (start, stop) that repeat; they may overlap.
+    """(k1, k2, spans): for each text that has any, the byte ranges (start, stop) that repeat; they may overlap.
 
-    docs: doc, tag (32-bit hash of the text), text.
+    docs: k1, k2 (the key of a row), text. Rows equal in both have the same spans, once.
     """
-    found = materialise(find(docs), "repeats-found")
-    settled = materialise(settle(found), "repeats-settled")
+    found = materialise(fewer(find(docs), docs), "repeats-found")
+    settled = materialise(fewer(settle(found), docs), "repeats-settled")
     open_ = settled.where("kind = 1")
     sizes = open_.groupBy("kh").count().where(F.col("count") > hot).select("kh", F.lit(True).alias("hot"))
-    needs = open_.join(sizes, "kh", "left").select("kh", F.coalesce("hot", F.lit(False)).alias("hot"), "doc", "tag", "place")
-    needs = needs.groupBy("doc", "tag").agg(F.collect_list(F.struct("kh", "hot", "place")).alias("needs"))
+    needs = open_.join(sizes, "kh", "left").select("kh", F.coalesce("hot", F.lit(False)).alias("hot"), "k1", "k2", "place")
+    needs = needs.groupBy("k1", "k2").agg(F.collect_set(F.struct("kh", "hot", "place")).alias("needs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-        names = ["kh", "h1", "h2", "doc", "tag", "place", "seg"]
+        kinds = [*[pa.int64()] * 6, pa.binary()]
+        names = ["kh", "h1", "h2", "k1", "k2", "place", "seg"]
         for batch in in_blocks(batches, "text", 8 << 20):
             out: list[tuple] = []
             texts = as_bytes(batch.column("text"))
-            for doc, tag, text, needed in zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), texts, batch.column("needs").to_pylist()):
+            for k1, k2, text, needed in zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), texts, batch.column("needs").to_pylist()):
                 for need in needed:
                     place = need["place"]
                     start, length = place >> 18, (place >> 9) & 511
                     segment = text[start : start + length]
                     if not need["hot"]:
-                        out.append((need["kh"], None, None, doc, tag, place, segment))
+                        out.append((need["kh"], None, None, k1, k2, place, segment))
                     else:
-                        out += [(None, a, b, doc, tag, start + i, None) for i, (a, b) in enumerate(_windows_of(segment))]
+                        out += [(None, a, b, k1, k2, start + i, None) for i, (a, b) in enumerate(_windows_of(segment))]
                     if len(out) >= 50_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
                         out = []
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
-    joined = docs.alias("d").join(needs.alias("n"), F.expr("d.doc <=> n.doc and d.tag = n.tag")).select("d.doc", "d.tag", "d.text", "n.needs")
-    pieces = materialise(joined.mapInArrow(cut, "kh long, h1 long, h2 long, doc long, tag int, place long, seg binary"), "repeats-segments")
-    lined = pieces.where("kh is not null").select("kh", "doc", "tag", "place", "seg").repartition("kh").sortWithinPartitions("kh")
-    columns = lined.mapInArrow(lambda b: _columns_of(b, chunk), "doc long, tag int, start long, stop long")
-    loose = pieces.where("kh is null").select("h1", "h2", "doc", "tag", F.col("place").alias("start"))
+    # of rows with one key each has the same segments: cut them from one
+    joined = docs.join(needs, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "text", "needs")
+    pieces = joined.mapInArrow(cut, "kh long, h1 long, h2 long, k1 long, k2 long, place long, seg binary")
+    pieces = materialise(fewer(pieces, docs), "repeats-segments")
+    lined = pieces.where("kh is not null").select("kh", "k1", "k2", "place", "seg").repartition("kh").sortWithinPartitions("kh")
+    columns = lined.mapInArrow(lambda b: _columns_of(b, chunk), "k1 long, k2 long, start long, stop long")
+    loose = pieces.where("kh is null").select("h1", "h2", "k1", "k2", F.col("place").alias("start"))
     twice = loose.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
-    counted = loose.join(twice, ["h1", "h2"]).select("doc", "tag", "start", (F.col("start") + WINDOW).alias("stop"))
-    known = found.where("kind = 0").select("doc", "tag", "place").unionAll(settled.where("kind = 0").select("doc", "tag", "place"))
+    counted = loose.join(twice, ["h1", "h2"]).select("k1", "k2", "start", (F.col("start") + WINDOW).alias("stop"))
+    known = found.where("kind = 0").select("k1", "k2", "place").unionAll(settled.where("kind = 0").select("k1", "k2", "place"))
     begin = F.shiftright("place", 18)
-    known = known.select("doc", "tag", begin.alias("start"), (begin + F.shiftright("place", 9).bitwiseAND(F.lit(511))).alias("stop"))
+    known = known.select("k1", "k2", begin.alias("start"), (begin + F.shiftright("place", 9).bitwiseAND(F.lit(511))).alias("stop"))
     spans = known.unionAll(columns).unionAll(counted)
-    return spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc"), F.hash(text).alias("tag"), text.alias("text"), *more)
+    return docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc"), text.alias("text"), *more)
 
 
 def kept_parts(text: bytes, spans: list[dict] | None) -> tuple[list[memoryview], int, int]:
@@ -385,10 +387,8 @@ def kept_parts(text: bytes, spans: list[dict] | None) -> tuple[list[memoryview],
 
 def _with_spans(docs: DataFrame, *more: str, **options) -> DataFrame:
     rows = keyed(docs, *more)
-    spans = repeated_spans(keyed(docs), **options)
-    names = ", ".join(f"d.`{c}`" for c in ("doc", "text", *more))
-    joined = rows.alias("d").join(spans.alias("s"), F.expr("d.doc <=> s.doc and d.tag = s.tag"), "left")
-    return joined.selectExpr(*names.split(", "), "s.spans")
+    spans = repeated_spans(keyed(docs).drop("doc"), **options)
+    return rows.join(spans, ["k1", "k2"], "left").select("doc", "text", *more, "spans")
 
 
 def measure(docs: DataFrame, **options) -> DataFrame:
@@ -407,7 +407,8 @@ def measure(docs: DataFrame, **options) -> DataFrame:
             columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return _with_spans(docs, **options).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    measured = _with_spans(docs, **options).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return fewer(measured, docs)
 
 
 def remove(docs: DataFrame, **options) -> DataFrame:
@@ -430,7 +431,7 @@ def remove(docs: DataFrame, **options) -> DataFrame:
     from pyspark.sql import types as T
 
     schema = T.StructType([T.StructField("row", docs.schema), T.StructField("kept", T.StringType())])
-    cut = joined.mapInArrow(run, schema)
+    cut = fewer(joined.mapInArrow(run, schema), docs)
     text = F.when(F.col("row.text").isNull(), F.lit(None)).otherwise(F.col("kept"))
     changed = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in names else {})
     return cut.select(*(changed[c].alias(c) if c in changed else F.col("row").getField(c).alias(c) for c in names))
