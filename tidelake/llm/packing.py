@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tidelake.llm._common import WORD_BPE, as_bytes, bounded_batches, in_blocks, tokenizer_path
+from tidelake.llm._common import WORD_BPE, as_bytes, bounded_batches, fewer, in_blocks, tokenizer_path
 from tidelake.llm.tokenize import encoder
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -140,15 +140,17 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path, spaces=False)
         end = int(end_id).to_bytes(4, "little")
-        packer = _Packer(capacity, grain, group, slack, TaskContext.get().partitionId() << 32)
+        packer = None
         for batch in in_blocks(batches, "text", 8 << 20):
+            packer = packer or _Packer(capacity, grain, group, slack, batch.column("part")[0].as_py() << 32)
             for doc, text in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text"))):
                 packer.add(doc, words.encode(text) + end)
                 if len(packer.out) >= 50_000:
                     yield packer.take()
-        if packer.rests:
+        if packer and packer.rests:
             packer.flush()
-        if packer.out:
+        if packer and packer.out:
             yield packer.take()
 
-    return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, SCHEMA)
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return fewer(text, docs).withColumn("part", F.spark_partition_id()).mapInArrow(run, SCHEMA)
