@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import materialise
+from tidelake.llm._common import bounded_batches, fewer, in_blocks, materialise
 
 CHUNK_SCHEMA = "archive int, record long, chunk int, last boolean, running binary, data binary"
 SCHEMA = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -64,14 +64,15 @@ def write_archives(pages: DataFrame, chunk_bytes: int = 1 << 20, revisit_from: i
     joined = joined.select("r.page_id", "r.url", "r.html", "v.target")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        archive, record, out, held = TaskContext.get().partitionId(), 0, [], 0
+        record, out, held = 0, [], 0
         names = [x.split()[0] for x in CHUNK_SCHEMA.split(", ")]
         kinds = [pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
 
         def take() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
-        for batch in batches:
+        for batch in in_blocks(batches, "html", 8 << 20):
+            archive = batch.column("archive")[0].as_py()  # the same in all rows
             html = batch.column("html").cast(pa.binary())
             for i, (page, url, target) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "target")))):
                 value = html[i].as_buffer() if html[i].is_valid else None
@@ -86,7 +87,9 @@ def write_archives(pages: DataFrame, chunk_bytes: int = 1 << 20, revisit_from: i
         if out:
             yield take()
 
-    return materialise(joined.mapInArrow(run, CHUNK_SCHEMA), "warc-chunks")
+    bounded_batches(pages.sparkSession)
+    chunks = joined.withColumn("archive", F.spark_partition_id()).mapInArrow(run, CHUNK_SCHEMA)
+    return materialise(fewer(chunks, pages), "warc-chunks")
 
 
 def record_chunks(page: int | None, url: str | None, payload: memoryview, target: int | None, chunk_bytes: int, date: str) -> Iterator[tuple[int, bool, bytes, bytes]]:
@@ -196,7 +199,7 @@ def read_archives(chunks: DataFrame) -> DataFrame:
 
     single = chunks.where("chunk = 0 and last").mapInArrow(run, SCHEMA)
     large = chunks.where("not (chunk = 0 and last)").repartition("archive", "record")
-    return single.unionAll(large.sortWithinPartitions("archive", "record", "chunk").mapInArrow(run, SCHEMA))
+    return fewer(single.unionAll(large.sortWithinPartitions("archive", "record", "chunk").mapInArrow(run, SCHEMA)), chunks)
 
 
 def export_files(chunks: DataFrame, folder: str) -> None:
