@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import bounded_batches, in_blocks
+from tidelake.llm._common import bounded_batches, fewer, in_blocks
 
 BINS = 128
 RENEW = 1 << 20
@@ -126,6 +126,27 @@ def both_prints(text: str, other: str) -> tuple[str, bytes, bytes]:
     return head + new, signature(own), signature(fold(least, parse.phrases))
 
 
+def _longs(values: list[int]):
+    """A constant array; written as one text, so that very many values are one literal and not one each."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _cuts_below(cuts: list[int], key):
+    """How many of the ascending cuts are less than key, by bisection."""
+    if not cuts:
+        return F.lit(0)
+    array = _longs(cuts)
+    steps = F.sequence(F.lit(1), F.lit(len(cuts).bit_length()))
+
+    def step(at, _):
+        middle = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        less = F.get(array, middle) < key
+        done = at["lo"] >= at["hi"]
+        return F.struct(F.when(~done & less, middle + 1).otherwise(at["lo"]).alias("lo"), F.when(~done & ~less, middle).otherwise(at["hi"]).alias("hi"))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi")), step, lambda at: at["lo"])
+
+
 def with_neighbours(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """Fingerprints of every row, of its edited text, and their likeness (see the module's text)."""
     spark = docs.sparkSession
@@ -134,18 +155,18 @@ def with_neighbours(docs: DataFrame, parts: int | None = None) -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), key.alias("key"))
     ids = rows.select("key")
-    cuts = ids.agg(F.percentile_approx("key", [i / n for i in range(1, n)] or [1.0], 10_000)).first()[0] or []
+    cuts = ids.agg(F.percentile_approx("key", [i / n for i in range(1, n)] or [1.0], max(10_000, 4 * n))).first()[0] or []
     cuts = sorted(set(cuts)) if n > 1 else []
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]).cast("array<long>")
-    part = F.size(F.filter(bounds, lambda b: b < F.col("key"))).cast("int")
-    # one row per part that has any: its smallest key
-    heads = sorted((r[0], r[1]) for r in ids.groupBy(part.alias("part")).agg(F.min("key")).collect())
-    ahead = F.create_map(*[F.lit(x) for i, (_, k) in enumerate(heads) for x in (k, heads[i - 1][0])]) if heads else None
-    before = F.element_at(ahead, F.col("key")) if heads else F.lit(None).cast("int")
-    places = F.when(before.isNull(), F.array(F.struct(part.alias("part"), F.lit(0).alias("look")))).otherwise(
-        F.array(F.struct(part.alias("part"), F.lit(0).alias("look")), F.struct(before.alias("part"), F.lit(1).alias("look")))
-    )
-    dealt = rows.select("doc_id", "text", "key", F.explode(places).alias("place")).select("doc_id", "text", "key", "place.part", "place.look")
+    rows = rows.withColumn("part", _cuts_below(cuts, F.col("key")).cast("int"))
+    # by part, its smallest key, and the part before it that has any; before the first comes the last
+    least = {r[0]: r[1] for r in ids.withColumn("part", _cuts_below(cuts, F.col("key")).cast("int")).groupBy("part").agg(F.min("key")).collect()}
+    order = sorted(least)
+    before = {k: order[i - 1] for i, k in enumerate(order)}
+    heads = F.get(_longs([least.get(k, 0) for k in range(len(cuts) + 1)]), F.col("part"))
+    ahead = F.get(_longs([before.get(k, 0) for k in range(len(cuts) + 1)]), F.col("part")).cast("int")
+    here = F.struct(F.col("part"), F.lit(0).alias("look"))
+    places = F.when(heads == F.col("key"), F.array(here, F.struct(ahead.alias("part"), F.lit(1).alias("look")))).otherwise(F.array(here))
+    dealt = rows.withColumn("places", places).select("doc_id", "text", "key", F.explode("places").alias("place")).select("doc_id", "text", "key", "place.part", "place.look")
     dealt = dealt.repartitionById(max(n, 1), F.col("part")).sortWithinPartitions("part", "look", "key", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,4 +195,4 @@ def with_neighbours(docs: DataFrame, parts: int | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
                 out.clear()
 
-    return dealt.select("part", "look", "doc_id", "text").mapInArrow(run, SCHEMA)
+    return fewer(dealt.select("part", "look", "doc_id", "text").mapInArrow(run, SCHEMA), docs)
