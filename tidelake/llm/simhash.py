@@ -4,8 +4,9 @@ Fingerprints: A-Z lower-cased, words split at ASCII white space, four-word shing
 (repeats included; a shorter text is one shingle, a text without words has fingerprint zero); a bit is 1
 if it is set in over half of the shingles' XXH64 (seed 42).
 
-Linking: only distinct fingerprints are compared. Two within 4 bits agree in at least two of six bit
-groups, so each fingerprint is dealt under the fifteen pairs of groups. In a task the fingerprints,
+Linking: only distinct fingerprints are compared. Two within 4 bits agree in all but four of any bit
+groups, so with six groups each fingerprint is dealt under the fifteen pairs of them; with very many fingerprints
+there are more groups, and longer keys, so that buckets stay small. In a task the fingerprints,
 sorted by those keys, are laid out in blocks of vertical bit planes; a block's distances to a batch of
 fingerprints are counted for 64 lanes at a time in carry-save bitwise counters that stick once past the
 radius, and a comparison is abandoned once every lane of the block has. A link found is true whatever
@@ -31,8 +32,6 @@ from pyspark.sql import functions as F
 from tidelake.llm._common import as_bytes, bounded_batches, fewer, in_blocks, materialise, row_key
 from tidelake.llm.components import connected_components
 
-#: Bits of each of the six groups.
-GROUPS = (11, 11, 11, 11, 10, 10)
 _BATCH = 1 << 16
 
 
@@ -140,12 +139,24 @@ def compare(left: np.ndarray, right: np.ndarray, radius: int, batch: int = 128)
     return _spanning(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))
 
 
-def group_keys(fps: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(number, key) for each of the fifteen pairs of bit groups; a key is unique across numbers."""
-    starts = np.concatenate([[0], np.cumsum(GROUPS)[:-1]])
-    parts = [(fps >> np.uint64(s)) & np.uint64((1 << w) - 1) for s, w in zip(starts, GROUPS)]
-    for number, (i, j) in enumerate(itertools.combinations(range(len(GROUPS)), 2)):
-        yield number, ((np.uint64(number) << np.uint64(24)) | (parts[i] << np.uint64(11)) | parts[j]).astype(np.int64)
+def groups_for(n: int, radius: int, block: int) -> int:
+    """The least number of bit groups with which keys part `n` even fingerprints into buckets of at most a block."""
+    g = radius + 2
+    while n >> (64 * (g - radius) // g) > block and g < 2 * radius + 2:
+        g += 1
+    return g
+
+
+def group_keys(fps: np.ndarray, radius: int = 4, groups: int = 6) -> Iterator[tuple[int, np.ndarray]]:
+    """(number, key) for each choice of all but `radius` bit groups; a key is unique across numbers."""
+    edges = [64 * i // groups for i in range(groups + 1)]
+    widths = [b - a for a, b in zip(edges, edges[1:])]
+    parts = [(fps >> np.uint64(a)) & np.uint64((1 << w) - 1) for a, w in zip(edges, widths)]
+    for number, chosen in enumerate(itertools.combinations(range(groups), groups - radius)):
+        key = np.full(len(fps), number, np.uint64)
+        for i in chosen:
+            key = (key << np.uint64(widths[i])) | parts[i]
+        yield number, key.view(np.int64)
 
 
 def _links_of(batches: Iterator[pa.RecordBatch], radius: int, block: int) -> Iterator[pa.RecordBatch]:
@@ -210,17 +221,21 @@ def _links_between(batches: Iterator[pa.RecordBatch], radius: int, block: int) -
     yield from done()
 
 
-def links(fps: DataFrame, radius: int = 4, block: int = 512) -> DataFrame:
-    """Links (a, b) that connect all fingerprints (column fp, distinct) within `radius` bits."""
+def links(fps: DataFrame, radius: int = 4, block: int = 512, groups: int | None = None) -> DataFrame:
+    """Links (a, b) that connect all fingerprints (column fp, distinct) within `radius` bits.
+
+    groups: bit groups that keys are made of, by default as many as the number of fingerprints asks for.
+    """
+    groups = groups or groups_for(fps.count(), radius, block)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column("fp").to_numpy().view(np.uint64)
-            for _, key in group_keys(fp):
+            for _, key in group_keys(fp, radius, groups):
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp.view(np.int64))], names=["key", "fp"])
 
-    if radius > 4:
-        raise ValueError("two of six bit groups agree only up to 4 differing bits")
+    if radius > 6:
+        raise ValueError("the counters hold distances up to 6")
     dealt = fps.select("fp").mapInArrow(deal, "key long, fp long").repartition("key").sortWithinPartitions("key")
     found = dealt.mapInArrow(lambda b: _links_of(b, radius, block), "key long, a long, b long, part long")
     found = materialise(fewer(found, fps), "simhash-links")
