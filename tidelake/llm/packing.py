@@ -138,7 +138,7 @@ def pack(
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path, spaces=False)
+        words = encoder(path, spaces=False, keep=250_000)
         end = int(end_id).to_bytes(4, "little")
         packer = None
         for batch in in_blocks(batches, "text", 8 << 20):
