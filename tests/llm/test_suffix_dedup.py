@@ -24,7 +24,7 @@ def made(seed):
     return [*texts, "a" * 1500, "ab" * 700, "", "x" * 199, "y" * 200, "z" * 200 + "q" + "z" * 200, texts[3], texts[3], "é" * 400]
 
 
-@pytest.mark.parametrize(("seed", "options"), [(0, {}), (1, {"hot": 3, "chunk": 64}), (2, {"chunk": 40}), (3, {"hot": 0})])
+@pytest.mark.parametrize(("seed", "options"), [(0, {"chunk": 40}), (1, {"hot": 3, "chunk": 64}), (3, {"hot": 0})])
 def test_measure(spark, seed, options):
     texts = made(seed)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
@@ -32,12 +32,13 @@ def test_measure(spark, seed, options):
     assert [got[i] for i in range(len(texts))] == repeats([t.encode() for t in texts])
 
 
-def test_buffers_and_pieces(monkeypatch):
+@pytest.mark.parametrize("gram", suffix_dedup.GRAMS)
+def test_buffers_and_pieces(monkeypatch, gram):
     """However texts are cut to buffers, each window lies in one segment."""
     texts = [t.encode() for t in made(4)]
     for size in (500, 700, 1 << 20):
         monkeypatch.setattr(suffix_dedup, "_BUFFER", size)
-        kind, _, _, text, place = suffix_dedup.find_in(texts)
+        kind, _, _, text, place = suffix_dedup.find_in(texts, gram)
         start, length, _, several = suffix_dedup.unpack_place(place)
         counts = [np.zeros(max(0, len(t) - 199), int) for t in texts]
         for t, a, n in zip(*(x[(kind == 0) | (several == 0)] for x in (text, start, length))):
@@ -45,22 +46,26 @@ def test_buffers_and_pieces(monkeypatch):
         assert all((c == 1).all() for c in counts)
 
 
-def test_columns_find_aligned_windows():
+@pytest.mark.parametrize("gram", suffix_dedup.GRAMS)
+def test_columns_find_aligned_windows(gram):
     rng = np.random.default_rng(0)
-    base = rng.integers(97, 100, 330).astype(np.uint8)
+    grams = suffix_dedup.in_window(gram)
+    width = 2 * grams + gram - 2
+    base = rng.integers(97, 100, width).astype(np.uint8)
     texts, anchors = [], []
     for _ in range(40):
         x = base.copy()
-        x[rng.integers(0, 330)] = 120
-        a, b = rng.integers(0, 60), rng.integers(270, 331)
+        x[rng.integers(0, width)] = 120
+        a = rng.integers(0, grams)
+        b = rng.integers(max(a + 200, grams - 1 + gram), width + 1)
         texts.append(x[a:b].tobytes())
-        anchors.append(133 - a)
-    got = suffix_dedup.repeated_windows(texts, np.array(anchors))
+        anchors.append(grams - 1 - a)
+    got = suffix_dedup.repeated_windows(texts, np.array(anchors), gram)
     for i, (t, at) in enumerate(zip(texts, anchors)):
-        first = suffix_dedup._GRAMS - 1 - at
+        first = grams - 1 - at
         for w in range(got.shape[1]):
             here = t[w - first : w - first + 200] if w >= first and w - first + 200 <= len(t) else None
-            others = [u[w - f : w - f + 200] for j, (u, c) in enumerate(zip(texts, anchors)) if j != i for f in [suffix_dedup._GRAMS - 1 - c] if w >= f and w - f + 200 <= len(u)]
+            others = [u[w - f : w - f + 200] for j, (u, c) in enumerate(zip(texts, anchors)) if j != i for f in [grams - 1 - c] if w >= f and w - f + 200 <= len(u)]
             assert got[i, w] == (here is not None and here in others)
 
 

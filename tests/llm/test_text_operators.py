@@ -168,13 +168,28 @@ def links_of(spark, fps, **options):
     return found
 
 
-@pytest.mark.parametrize("block", [8, 64, 512])
-def test_links_lose_nothing(spark, block):
+def test_group_keys():
+    """Fingerprints within the radius share a key, and keys of different choices are different."""
+    rng = np.random.default_rng(5)
+    f = rng.integers(0, 2**64, 400, dtype=np.uint64)
+    near = f.copy()
+    for i in range(400):
+        for b in rng.choice(64, 4, replace=False):
+            near[i] ^= np.uint64(1) << np.uint64(b)
+    for groups in (6, 7, 8, 10):
+        a, b = ([key for _, key in sim.group_keys(x, 4, groups)] for x in (f, near))
+        assert np.any([x == y for x, y in zip(a, b)], axis=0).all() and len(a) == math.comb(groups, 4)
+        assert len(np.unique([int(x[0]) for x in a])) == len(a)
+    assert [sim.groups_for(n, 4, 512) for n in (0, 10**9, 10**10, 10**12)] == [6, 6, 7, 8]
+
+
+@pytest.mark.parametrize(("block", "groups"), [(8, None), (64, 8), (512, 6)])
+def test_links_lose_nothing(spark, block, groups):
     """Groups around common centres, far larger than a block."""
     rng = random.Random(block)
     centres = [rng.getrandbits(64) for _ in range(4)]
     fps = list({c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for c in centres for _ in range(150)} | {rng.getrandbits(64) for _ in range(150)})
-    found = links_of(spark, fps, block=block)
+    found = links_of(spark, fps, block=block, groups=groups)
     signed = [int(np.uint64(x).view(np.int64)) for x in fps]
     first = components(fps)
     groups = {}

@@ -71,39 +71,42 @@ def replace_pairs(symbols: np.ndarray, first_rule: int, least: int) -> tuple[np.
     closes[0] = True
     rules: list[np.ndarray] = []
     made = first_rule
-    at = np.arange(n)
-    while True:
-        at = at[~closes[sym[at]] & (after[at] < n)]
-        if not len(at):
-            break
+    at = np.flatnonzero(sym[: max(0, n - 1)])
+    while len(at):
         codes, at = _grouped(sym[at], sym[after[at]], at, made <= 1 << 16)
         starts = np.append(0, np.flatnonzero(codes[1:] != codes[:-1]) + 1)
         uses = np.diff(np.append(starts, len(codes)))
         frequent = np.flatnonzero(uses >= least)
         if not len(frequent):
             break
+        frequent = frequent[np.argsort(uses[frequent], kind="stable")]
         rank = np.zeros(len(starts), np.int32)
-        rank[frequent[np.argsort(uses[frequent], kind="stable")]] = np.arange(1, len(frequent) + 1)
+        rank[frequent] = np.arange(1, len(frequent) + 1)
         rank = np.repeat(rank, uses)
-        at, rank = at[rank > 0], rank[rank > 0]
         weight[at] = rank
+        # from here on in the order of places: neighbours lie close together
+        at = np.flatnonzero(weight) if len(at) > n >> 4 else np.sort(at[rank > 0])
+        rank, left, right = weight[at], before[at], after[at]
         # a symbol repeated in a row is a run of overlapping uses of one pair: every second one is taken
-        joined = np.append(False, (rank[1:] == rank[:-1]) & (after[at[:-1]] == at[1:]))
-        places = np.arange(len(at))
-        odd = (places - np.maximum.accumulate(np.where(joined, 0, places))) & 1 == 1
+        joined = np.append(False, (left[1:] == at[:-1]) & (rank[1:] == rank[:-1]))
         follows = np.append(joined[1:], False)
-        chosen = ~odd & (joined | (weight[before[at]] < rank)) & (follows | (weight[after[at]] < rank))
+        chosen = (joined | (weight[left] < rank)) & (follows | (weight[right] < rank))
+        if joined.any():
+            places = np.arange(len(at))
+            chosen &= (places - np.maximum.accumulate(np.where(joined, 0, places))) & 1 == 0
         weight[at] = 0
         mark[at] = True
-        at, rank = at[chosen], rank[chosen]
-        used, number = np.unique(rank, return_inverse=True)
-        second = after[at]
-        pairs = np.zeros((len(used), 2), np.uint32)
-        pairs[number, 0], pairs[number, 1] = sym[at], sym[second]
+        at, rank, second = at[chosen], rank[chosen], right[chosen]
+        is_used = np.zeros(len(frequent) + 1, bool)
+        is_used[rank] = True
+        number = np.cumsum(is_used)
+        pairs = codes[starts[frequent[is_used[1:]]]]
+        half = pairs.dtype.type(8 * pairs.itemsize // 2)
+        pairs = np.stack([pairs >> half, pairs & ((pairs.dtype.type(1) << half) - pairs.dtype.type(1))], 1).astype(np.uint32)
         rules.append(pairs)
         closes = np.append(closes, closes[pairs[:, 1]])
-        sym[at] = made + number
-        made += len(used)
+        sym[at] = made - 1 + number[rank]
+        made += len(pairs)
         third = after[second]
         after[at], before[third] = third, at
         live[second] = False
@@ -111,6 +114,7 @@ def replace_pairs(symbols: np.ndarray, first_rule: int, least: int) -> tuple[np.
         mark[second] = mark[n] = False
         at = np.flatnonzero(mark)
         mark[at] = False
+        at = at[~closes[sym[at]] & (after[at] < n)]
     return sym[:n][live], np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), closes
 
 
