@@ -18,8 +18,8 @@ anything, and to short strings:
    neighbours by range maxima. Where neighbours agree on the last WINDOW columns, that window repeats.
    The method's sequential external files are replaced by columns in memory: the shuffle sorts the segments
    by k-gram, and all columns of a chunk of bounded size are one array; no column or BWT file is written.
-3. A k-gram with more than `hot` distinct segments is not gathered: all windows of its segments are
-   counted by a 128-bit hash, with partial sums, and met again in a join.
+3. A k-gram with more than `hot` distinct segments is not gathered: its segments are dealt anew, by the same
+   steps, with longer k-grams (`GRAMS`), up to whole windows. Two equal windows agree on those too.
 
 Defined results: a null text is empty; texts shorter than WINDOW stay; repeated rows repeat each other,
 so all that is long enough in them goes; rows are told apart by 128 bits over id and text, so a repeated or
@@ -28,6 +28,7 @@ null id is no key; an empty table gives no rows; other columns are ignored (and
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 from collections.abc import Iterator
@@ -40,12 +41,11 @@ from pyspark.sql import functions as F
 from tidelake.llm._common import as_bytes, bounded_batches, fewer, gathered, in_blocks, materialise, row_key
 
 WINDOW = 200
-K = 64
-_GRAMS = WINDOW - K + 1  # k-grams in a window
-_COLUMNS = 2 * _GRAMS + K - 2  # columns of segments lined up at their k-grams
+#: Bytes of the k-grams that windows are dealt by; the longer ones where a shorter one is too common.
+GRAMS = (64, 160, WINDOW)
 _BUFFER = 1 << 20
 _TABLE = np.random.default_rng(0x5EED).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_MIXERS = np.random.default_rng(0xFEED).integers(0, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MIXERS = np.random.default_rng(0xFEED).integers(0, 1 << 63, 9, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOW = np.uint64((1 << 24) - 1)
 FOUND = "kind int, kh long, sh long, k1 long, k2 long, place long"
 
@@ -59,26 +59,33 @@ def unpack_place(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return place >> 18, (place >> 9) & 511, (place >> 1) & 255, place & 1
 
 
-def segments(buffer: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, ...]:
+def in_window(gram: int) -> int:
+    """k-grams in a window."""
+    return WINDOW - gram + 1
+
+
+def segments(buffer: bytes, starts: np.ndarray, stops: np.ndarray, gram: int) -> tuple[np.ndarray, ...]:
     """Segments of the texts that lie at [starts, stops) of buffer: text number, start, stop, anchor, k-gram hash."""
-    n = len(buffer)
+    n, grams = len(buffer), in_window(gram)
     if n < WINDOW:
         return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
     h = _TABLE[np.frombuffer(buffer, np.uint8)]
     step = 1
-    for mixer in _MIXERS[:6]:
+    for mixer in _MIXERS[: gram.bit_length() - 1]:
         h = h[:-step] * mixer + h[step:]
         step *= 2
+    if step < gram:
+        h = h[: len(h) - (gram - step)] * _MIXERS[8] + h[gram - step :]
     h ^= h >> np.uint64(32)
     h *= _MIXERS[7]
     h ^= h >> np.uint64(29)
     low = (h & ~_LOW) | np.arange(len(h), dtype=np.uint64)
     step = 1
-    while 2 * step <= _GRAMS:
+    while 2 * step <= grams:
         low = np.minimum(low[:-step], low[step:])
         step *= 2
-    if step < _GRAMS:
-        low = np.minimum(low[: len(low) - (_GRAMS - step)], low[_GRAMS - step :])
+    if step < grams:
+        low = np.minimum(low[: len(low) - (grams - step)], low[grams - step :])
     windows = len(low)
     change = np.zeros(windows + 1, bool)
     change[1:windows] = low[1:] != low[:-1]
@@ -96,12 +103,16 @@ def segments(buffer: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[np.n
     return text, first, past + WINDOW - 1, anchor, h[anchor]
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """Kind 0: places known to repeat; kind 1: one row per distinct segment and task. Columns: FOUND."""
+def find(docs: DataFrame, gram: int) -> DataFrame:
+    """Kind 0: places known to repeat; kind 1: one row per distinct segment and task. Columns: FOUND.
+
+    docs: k1, k2, text, and where only some ranges of the texts are meant, their places in `within`.
+    """
+    some = "within" in docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, "text", 12 << 20):  # the rows of one batch are combined before the shuffle
-            found = find_in(as_bytes(batch.column("text")))
+            found = find_in(as_bytes(batch.column("text")), gram, batch.column("within").to_pylist() if some else None)
             if found is None:
                 continue
             kind, kh, sh, text, place = found
@@ -111,42 +122,44 @@ def find(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["kind", "kh", "sh", "k1", "k2", "place"])
 
     bounded_batches(docs.sparkSession)
-    return docs.select("k1", "k2", "text").mapInArrow(run, FOUND)
+    return docs.select("k1", "k2", "text", *(("within",) if some else ())).mapInArrow(run, FOUND)
 
 
-def find_in(texts: list[bytes]) -> tuple[np.ndarray, ...] | None:
+def find_in(texts: list[bytes], gram: int = GRAMS[0], within: list[list[int]] | None = None) -> tuple[np.ndarray, ...] | None:
+    """The rows of `find` for some texts, or for the ranges of them that `within` packs."""
     import xxhash
 
     digest = xxhash.xxh3_64_intdigest
     parts: list[tuple] = []
 
-    def take(buffer: bytes, numbers: list[int], starts: list[int], stops: list[int], base: int) -> None:
-        text, first, past, anchor, kh = segments(buffer, np.array(starts), np.array(stops))
+    def take(buffer: bytes, numbers: list[int], starts: list[int], stops: list[int], bases: list[int]) -> None:
+        text, first, past, anchor, kh = segments(buffer, np.array(starts), np.array(stops), gram)
         view = memoryview(buffer)
         sh = np.array([digest(view[a:b]) for a, b in zip(first.tolist(), past.tolist())], np.uint64)
-        origin = np.array(starts)[text] - base
+        origin = (np.array(starts) - np.array(bases))[text]
         parts.append((kh, sh, np.array(numbers)[text], first - origin, past - first, anchor - first))
 
-    pieces, numbers, starts, stops, held = [], [], [], [], 0
-    for i, text in enumerate(texts):
-        if len(text) < WINDOW:
-            continue
-        if len(text) > _BUFFER:
-            step = _BUFFER - WINDOW + 1
-            for at in range(0, len(text) - WINDOW + 1, step):
-                piece = text[at : at + _BUFFER]
-                take(piece, [i], [0], [len(piece)], at)
-            continue
-        if held + len(text) > _BUFFER:
-            take(b"".join(pieces), numbers, starts, stops, 0)
-            pieces, numbers, starts, stops, held = [], [], [], [], 0
-        pieces.append(text)
+    def ranges() -> Iterator[tuple[int, int, bytes]]:
+        """Number of the text, place in it, and bytes of every piece; long ones overlap so that each window lies in one."""
+        step = _BUFFER - WINDOW + 1
+        for i, text in enumerate(texts):
+            for start, length in [(0, len(text))] if within is None else [(x >> 18, (x >> 9) & 511) for x in within[i]]:
+                for at in range(start, start + length - WINDOW + 1, step):
+                    yield i, at, text[at : min(at + _BUFFER, start + length)]
+
+    pieces, numbers, starts, stops, bases, held = [], [], [], [], [], 0
+    for i, at, piece in ranges():
+        if held and held + len(piece) > _BUFFER:
+            take(b"".join(pieces), numbers, starts, stops, bases)
+            pieces, numbers, starts, stops, bases, held = [], [], [], [], [], 0
+        pieces.append(piece)
         numbers.append(i)
+        bases.append(at)
         starts.append(held)
-        held += len(text)
+        held += len(piece)
         stops.append(held)
     if pieces:
-        take(b"".join(pieces), numbers, starts, stops, 0)
+        take(b"".join(pieces), numbers, starts, stops, bases)
     if not parts:
         return None
     kh, sh, text, start, length, anchor = (np.concatenate(x) for x in zip(*parts))
@@ -228,22 +241,22 @@ def settle(found: DataFrame) -> DataFrame:
     return rows.repartition("kh").sortWithinPartitions("kh", "sh").mapInArrow(run, FOUND)
 
 
-def repeated_windows(texts: list[bytes], anchors: np.ndarray) -> np.ndarray:
+def repeated_windows(texts: list[bytes], anchors: np.ndarray, gram: int = GRAMS[0]) -> np.ndarray:
     """Which windows of segments, lined up at their anchors, occur in another segment too.
 
     Returns a table by segment and window; window w of a segment starts at column w, its first byte is
-    in column _GRAMS - 1 - anchor.
+    in column in_window(gram) - 1 - anchor.
     """
-    m = len(texts)
-    first = _GRAMS - 1 - anchors
+    m, width = len(texts), 2 * in_window(gram) + gram - 2
+    first = in_window(gram) - 1 - anchors
     last = first + np.fromiter(map(len, texts), np.int64, m) - 1
-    columns = np.full((m, _COLUMNS), 256, np.int16)
+    columns = np.full((m, width), 256, np.int16)
     for i, (text, at) in enumerate(zip(texts, first.tolist())):
         columns[i, at : at + len(text)] = np.frombuffer(text, np.uint8)
     columns = np.ascontiguousarray(columns.T)
-    repeated = np.zeros((m, _COLUMNS - WINDOW + 1), bool)
+    repeated = np.zeros((m, width - WINDOW + 1), bool)
     order, since = np.arange(m), np.zeros(m + 1, np.int32)  # since: first column from which a segment agrees with the one before it
-    for k in range(_COLUMNS):
+    for k in range(width):
         symbols = columns[k][order]
         to = np.argsort(symbols, kind="stable")
         symbols = symbols[to]
@@ -267,7 +280,7 @@ def repeated_windows(texts: list[bytes], anchors: np.ndarray) -> np.ndarray:
     return repeated
 
 
-def _columns_of(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
+def _columns_of(batches: Iterator[pa.RecordBatch], chunk: int, gram: int) -> Iterator[pa.RecordBatch]:
     """Rows (kh, k1, k2, place, seg) sorted by kh -> spans (k1, k2, start, stop)."""
     held: list[pa.RecordBatch] = []
 
@@ -275,11 +288,11 @@ def _columns_of(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Re
         place = table.column("place").to_numpy()
         start, _, anchor, _ = unpack_place(place)
         texts = table.column("seg").to_pylist()
-        table_of = repeated_windows(texts, anchor)
+        table_of = repeated_windows(texts, anchor, gram)
         edge = np.diff(np.pad(table_of.astype(np.int8), ((0, 0), (1, 1))), axis=1)
         row, begin = np.nonzero(edge == 1)
         _, end = np.nonzero(edge == -1)
-        origin = start[row] - (_GRAMS - 1 - anchor[row])
+        origin = start[row] - (in_window(gram) - 1 - anchor[row])
         at = pa.array(row)
         columns = [table.column("k1").take(at).combine_chunks(), table.column("k2").take(at).combine_chunks(), pa.array(origin + begin), pa.array(origin + end - 1 + WINDOW)]
         return pa.RecordBatch.from_arrays(columns, names=["k1", "k2", "start", "stop"])
@@ -307,61 +320,53 @@ def _columns_of(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Re
         held = table.slice(begin).to_batches()
 
 
-def _windows_of(text: bytes) -> list[tuple[int, int]]:
-    import xxhash
-
-    view, digest = memoryview(text), xxhash.xxh3_128_intdigest
-    found = [digest(view[i : i + WINDOW]) for i in range(len(text) - WINDOW + 1)]
-    return [((x >> 64) - (1 << 63), (x & 0xFFFFFFFFFFFFFFFF) - (1 << 63)) for x in found]
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with the k-grams and places that are needed of them -> (kh, k1, k2, place, seg)."""
+    kinds, names = [*[pa.int64()] * 4, pa.binary()], ["kh", "k1", "k2", "place", "seg"]
+    for batch in in_blocks(batches, "text", 8 << 20):
+        out: list[tuple] = []
+        for k1, k2, text, needed in zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), as_bytes(batch.column("text")), batch.column("needs").to_pylist()):
+            for need in needed:
+                place = need["place"]
+                start = place >> 18
+                out.append((need["kh"], k1, k2, place, text[start : start + ((place >> 9) & 511)]))
+                if len(out) >= 50_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+                    out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
 
 def repeated_spans(docs: DataFrame, chunk: int = 4096, hot: int = 16_384) -> DataFrame:
     """(k1, k2, spans): for each text that has any, the byte ranges (start, stop) that repeat; they may overlap.
 
     docs: k1, k2 (the key of a row), text. Rows equal in both have the same spans, once.
+    hot: distinct segments of a k-gram up to which they are gathered; those of commoner ones are dealt by longer k-grams.
     """
-    found = materialise(fewer(find(docs), docs), "repeats-found")
-    settled = materialise(fewer(settle(found), docs), "repeats-settled")
-    open_ = settled.where("kind = 1")
-    sizes = open_.groupBy("kh").count().where(F.col("count") > hot).select("kh", F.lit(True).alias("hot"))
-    needs = open_.join(sizes, "kh", "left").select("kh", F.coalesce("hot", F.lit(False)).alias("hot"), "k1", "k2", "place")
-    needs = needs.groupBy("k1", "k2").agg(F.collect_set(F.struct("kh", "hot", "place")).alias("needs"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [*[pa.int64()] * 6, pa.binary()]
-        names = ["kh", "h1", "h2", "k1", "k2", "place", "seg"]
-        for batch in in_blocks(batches, "text", 8 << 20):
-            out: list[tuple] = []
-            texts = as_bytes(batch.column("text"))
-            for k1, k2, text, needed in zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), texts, batch.column("needs").to_pylist()):
-                for need in needed:
-                    place = need["place"]
-                    start, length = place >> 18, (place >> 9) & 511
-                    segment = text[start : start + length]
-                    if not need["hot"]:
-                        out.append((need["kh"], None, None, k1, k2, place, segment))
-                    else:
-                        out += [(None, a, b, k1, k2, start + i, None) for i, (a, b) in enumerate(_windows_of(segment))]
-                    if len(out) >= 50_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
-                        out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
-
-    # of rows with one key each has the same segments: cut them from one
-    joined = docs.join(needs, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "text", "needs")
-    pieces = joined.mapInArrow(cut, "kh long, h1 long, h2 long, k1 long, k2 long, place long, seg binary")
-    pieces = materialise(fewer(pieces, docs), "repeats-segments")
-    lined = pieces.where("kh is not null").select("kh", "k1", "k2", "place", "seg").repartition("kh").sortWithinPartitions("kh")
-    columns = lined.mapInArrow(lambda b: _columns_of(b, chunk), "k1 long, k2 long, start long, stop long")
-    loose = pieces.where("kh is null").select("h1", "h2", "k1", "k2", F.col("place").alias("start"))
-    twice = loose.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
-    counted = loose.join(twice, ["h1", "h2"]).select("k1", "k2", "start", (F.col("start") + WINDOW).alias("stop"))
-    known = found.where("kind = 0").select("k1", "k2", "place").unionAll(settled.where("kind = 0").select("k1", "k2", "place"))
-    begin = F.shiftright("place", 18)
-    known = known.select("k1", "k2", begin.alias("start"), (begin + F.shiftright("place", 9).bitwiseAND(F.lit(511))).alias("stop"))
-    spans = known.unionAll(columns).unionAll(counted)
-    return spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    spans, source = [], docs
+    begin, length = F.shiftright("place", 18), F.shiftright("place", 9).bitwiseAND(F.lit(511))
+    # of rows with one key each has the same segments: they are taken from one
+    one_of = lambda places: docs.join(places, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    for gram in GRAMS:
+        found = materialise(fewer(find(source, gram), docs), f"repeats-found-{gram}")
+        settled = materialise(fewer(settle(found), docs), f"repeats-settled-{gram}")
+        for known in (found, settled):
+            spans.append(known.where("kind = 0").select("k1", "k2", begin.alias("start"), (begin + length).alias("stop")))
+        open_ = settled.where("kind = 1")
+        common = open_.groupBy("kh").count().where(F.col("count") > hot).select("kh")
+        common = materialise(common.coalesce(1), f"repeats-common-{gram}") if gram < WINDOW else None
+        last = common is None or common.isEmpty()
+        few = open_ if last else open_.join(common, "kh", "left_anti")
+        needs = few.groupBy("k1", "k2").agg(F.collect_set(F.struct("kh", "place")).alias("needs"))
+        pieces = one_of(needs).select("k1", "k2", "text", "needs").mapInArrow(_cut, "kh long, k1 long, k2 long, place long, seg binary")
+        lined = materialise(fewer(pieces, docs), f"repeats-segments-{gram}").repartition("kh").sortWithinPartitions("kh")
+        spans.append(lined.mapInArrow(lambda b, gram=gram: _columns_of(b, chunk, gram), "k1 long, k2 long, start long, stop long"))
+        if last:
+            break
+        many = open_.join(common, "kh", "left_semi").groupBy("k1", "k2").agg(F.collect_set("place").alias("within"))
+        source = one_of(many).select("k1", "k2", "text", "within")
+    every = functools.reduce(DataFrame.unionAll, spans)
+    return every.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
