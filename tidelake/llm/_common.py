@@ -67,10 +67,8 @@ def new_folder(spark: SparkSession, tag: str) -> str:
 
 def planned_bytes(df: DataFrame) -> int | None:
     """Bytes that the planner expects a frame to read or hold; None where it does not say."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:  # a client without the JVM at hand
-        return None
+    plan = getattr(df, "_jdf", None)  # a client may have no JVM at hand
+    return None if plan is None else int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fewer(df: DataFrame, source: DataFrame, each: int = 16 << 20) -> DataFrame:
@@ -81,7 +79,7 @@ def fewer(df: DataFrame, source: DataFrame, each: int = 16 << 20) -> DataFrame:
     result must come from `spark_partition_id` of the frame before this.
     """
     size = planned_bytes(source)
-    return df if size is None else df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // each)))
+    return df if size is None else df.coalesce(min(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // each)), (1 << 31) - 1))
 
 
 def materialise(df: DataFrame, tag: str, *partition_by: str) -> DataFrame:
