@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import fewer, materialise
+from tidelake.llm._common import materialise
 
 
 def files(links: int, each: int = 250_000) -> int:
@@ -22,7 +22,7 @@ def connected_components(links: DataFrame, tag: str = "components", most_rounds:
     gathered, so a node with very many links costs rows, not memory.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
-    edges = materialise(fewer(edges, links), tag)
+    edges = materialise(edges, tag)
     before, n = None, edges.count()
     for _ in range(most_rounds):
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import WORD_BPE, as_bytes, bounded_batches, fewer, in_blocks, tokenizer_path
+from tidelake.llm._common import WORD_BPE, as_bytes, bounded_batches, in_blocks, tokenizer_path
 from tidelake.llm.tokenize import encoder
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -153,4 +153,4 @@ def pack(
             yield packer.take()
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return fewer(text, docs).withColumn("part", F.spark_partition_id()).mapInArrow(run, SCHEMA)
+    return text.withColumn("part", F.spark_partition_id()).mapInArrow(run, SCHEMA)

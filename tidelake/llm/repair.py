@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import BYTE_BPE, as_bytes, bounded_batches, fewer, in_blocks, materialise, tokenizer_path
+from tidelake.llm._common import BYTE_BPE, as_bytes, bounded_batches, in_blocks, materialise, tokenizer_path
 from tidelake.llm.tokenize import encoder
 
 _HEADER = struct.Struct("<4sHHIIIIIQQI")
@@ -256,7 +256,7 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0,
     text = docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string"))
     ordered = text.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     shards = ordered.withColumn("part", F.spark_partition_id()).mapInArrow(run, SHARD_SCHEMA)
-    return materialise(fewer(shards, docs), "token-shards")
+    return materialise(shards, "token-shards")
 
 
 def first_ids(shards: DataFrame) -> dict[int, int]:
@@ -301,7 +301,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return fewer(shards.select("payload").mapInArrow(run, SCHEMA), shards)
+    return shards.select("payload").mapInArrow(run, SCHEMA)
 
 
 def export_shards(shards: DataFrame, folder: str) -> None:

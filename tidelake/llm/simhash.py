@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import as_bytes, bounded_batches, fewer, in_blocks, materialise, row_key
+from tidelake.llm._common import as_bytes, bounded_batches, in_blocks, materialise, row_key
 from tidelake.llm.components import connected_components
 
 _BATCH = 1 << 16
@@ -238,7 +238,7 @@ def links(fps: DataFrame, radius: int = 4, block: int = 512, groups: int | None
         raise ValueError("the counters hold distances up to 6")
     dealt = fps.select("fp").mapInArrow(deal, "key long, fp long").repartition("key").sortWithinPartitions("key")
     found = dealt.mapInArrow(lambda b: _links_of(b, radius, block), "key long, a long, b long, part long")
-    found = materialise(fewer(found, fps), "simhash-links")
+    found = materialise(found, "simhash-links")
     plain = found.where("b is not null").select("a", "b")
     # buckets larger than a block: members are hashed to parts, and every two parts meet in a task of their own
     rest = found.where("b is null").select("key", F.col("a").alias("fp"))
@@ -255,19 +255,19 @@ def _roots(classes: DataFrame, radius: int) -> DataFrame:
     """The columns of classes (column fp, distinct) and `root`, the smallest fingerprint that each one reaches."""
     linked = connected_components(links(classes, radius), "simhash-components")
     named = classes.join(linked, F.col("fp") == F.col("node"), "left").select(*classes.columns, F.coalesce("root", "fp").alias("root"))
-    return materialise(fewer(named, classes), "simhash-classes")
+    return materialise(named, "simhash-classes")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every row."""
-    rows = materialise(fewer(fingerprints(docs, shingle), docs), "simhash")
+    rows = materialise(fingerprints(docs, shingle), "simhash")
     named = _roots(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), radius)
     groups = named.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("size"))
     # a fingerprint that one row has alone needs no join
     members = named.join(groups, "root").where("size > 1").select("fp", "component_id")
     out = rows.join(members, "fp", "left")
     out = out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    return fewer(out, docs)
+    return out
 
 
 def keep_one(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
@@ -276,9 +276,9 @@ def keep_one(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
     Of rows equal in id and text one stays, whatever their other columns say. Rows are told apart by 128
     bits over id and text, so repeated and null ids neither join nor part components.
     """
-    rows = materialise(fewer(fingerprints(docs, shingle, keyed=True), docs), "simhash")
+    rows = materialise(fingerprints(docs, shingle, keyed=True), "simhash")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
     named = _roots(rows.groupBy("fp").agg(F.min(first).alias("first")), radius)
     kept = named.groupBy("root").agg(F.min("first").alias("first")).select("first.k1", "first.k2")
     whole = docs.select(F.struct("*").alias("row"), *row_key())
-    return fewer(whole.join(kept, ["k1", "k2"]).dropDuplicates(["k1", "k2"]), docs).select("row.*")
+    return whole.join(kept, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("row.*")

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import as_bytes, bounded_batches, fewer, gathered, in_blocks, materialise, row_key
+from tidelake.llm._common import as_bytes, bounded_batches, gathered, in_blocks, materialise, row_key
 
 WINDOW = 200
 #: Bytes of the k-grams that windows are dealt by; the longer ones where a shorter one is too common.
@@ -348,8 +348,8 @@ def repeated_spans(docs: DataFrame, chunk: int = 4096, hot: int = 16_384) -> Dat
     # of rows with one key each has the same segments: they are taken from one
     one_of = lambda places: docs.join(places, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
     for gram in GRAMS:
-        found = materialise(fewer(find(source, gram), docs), f"repeats-found-{gram}")
-        settled = materialise(fewer(settle(found), docs), f"repeats-settled-{gram}")
+        found = materialise(find(source, gram), f"repeats-found-{gram}")
+        settled = materialise(settle(found), f"repeats-settled-{gram}")
         for known in (found, settled):
             spans.append(known.where("kind = 0").select("k1", "k2", begin.alias("start"), (begin + length).alias("stop")))
         open_ = settled.where("kind = 1")
@@ -359,7 +359,7 @@ def repeated_spans(docs: DataFrame, chunk: int = 4096, hot: int = 16_384) -> Dat
         few = open_ if last else open_.join(common, "kh", "left_anti")
         needs = few.groupBy("k1", "k2").agg(F.collect_set(F.struct("kh", "place")).alias("needs"))
         pieces = one_of(needs).select("k1", "k2", "text", "needs").mapInArrow(_cut, "kh long, k1 long, k2 long, place long, seg binary")
-        lined = materialise(fewer(pieces, docs), f"repeats-segments-{gram}").repartition("kh").sortWithinPartitions("kh")
+        lined = materialise(pieces, f"repeats-segments-{gram}").repartition("kh").sortWithinPartitions("kh")
         spans.append(lined.mapInArrow(lambda b, gram=gram: _columns_of(b, chunk, gram), "k1 long, k2 long, start long, stop long"))
         if last:
             break
@@ -413,7 +413,7 @@ def measure(docs: DataFrame, **options) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc"), *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     measured = _with_spans(docs, **options).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return fewer(measured, docs)
+    return measured
 
 
 def remove(docs: DataFrame, **options) -> DataFrame:
@@ -436,7 +436,7 @@ def remove(docs: DataFrame, **options) -> DataFrame:
     from pyspark.sql import types as T
 
     schema = T.StructType([T.StructField("row", docs.schema), T.StructField("kept", T.StringType())])
-    cut = fewer(joined.mapInArrow(run, schema), docs)
+    cut = joined.mapInArrow(run, schema)
     text = F.when(F.col("row.text").isNull(), F.lit(None)).otherwise(F.col("kept"))
     changed = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in names else {})
     return cut.select(*(changed[c].alias(c) if c in changed else F.col("row").getField(c).alias(c) for c in names))

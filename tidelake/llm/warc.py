@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm._common import bounded_batches, fewer, in_blocks, materialise
+from tidelake.llm._common import bounded_batches, in_blocks, materialise
 
 CHUNK_SCHEMA = "archive int, record long, chunk int, last boolean, running binary, data binary"
 SCHEMA = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -89,7 +89,7 @@ def write_archives(pages: DataFrame, chunk_bytes: int = 1 << 20, revisit_from: i
 
     bounded_batches(pages.sparkSession)
     chunks = joined.withColumn("archive", F.spark_partition_id()).mapInArrow(run, CHUNK_SCHEMA)
-    return materialise(fewer(chunks, pages), "warc-chunks")
+    return materialise(chunks, "warc-chunks")
 
 
 def record_chunks(page: int | None, url: str | None, payload: memoryview, target: int | None, chunk_bytes: int, date: str) -> Iterator[tuple[int, bool, bytes, bytes]]:
@@ -199,7 +199,7 @@ def read_archives(chunks: DataFrame) -> DataFrame:
 
     single = chunks.where("chunk = 0 and last").mapInArrow(run, SCHEMA)
     large = chunks.where("not (chunk = 0 and last)").repartition("archive", "record")
-    return fewer(single.unionAll(large.sortWithinPartitions("archive", "record", "chunk").mapInArrow(run, SCHEMA)), chunks)
+    return single.unionAll(large.sortWithinPartitions("archive", "record", "chunk").mapInArrow(run, SCHEMA))
 
 
 def export_files(chunks: DataFrame, folder: str) -> None:
