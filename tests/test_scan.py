@@ -338,6 +338,25 @@ def test_source_agrees_with_scan_on_nested_columns(spark):
     assert sorted(source.collect(), key=key) == sorted(direct.collect(), key=key)
 
 
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_source_reads_a_folder_registered_as_a_file(spark, tmp_path, scheme):
+    register(spark)
+    folder = tmp_path / "several files.parquet"
+    df = spark.range(20).select("id", F.array(F.col("id").cast("double")).alias("v"), F.pmod("id", F.lit(2)).alias("side"))
+    df.repartition(3).write.partitionBy("side").parquet(str(folder))
+    (folder / "_passed_over").write_text("not Parquet")
+    lk = Lake(spark)
+    t = lk.add_table("t", [("id", "int64"), ("v", "list", [("element", "float64")])])
+    f = lk.add_file(t, df, path=str(folder) if not scheme else folder.as_uri())
+    source = spark.read.format("tidelake").options(catalog=lk.catalog, table="t")
+    got = source.load()
+    assert sorted(map(tuple, got.collect())) == [(i, [float(i)]) for i in range(20)] and got.rdd.getNumPartitions() >= 3
+    lk.take_snapshot()
+    lk.add_deletes(t, f, [0])
+    with pytest.raises(Exception, match="a folder of several files"):
+        source.load().collect()
+
+
 def test_a_broken_catalog_is_not_taken_for_a_missing_relation(spark):
     lk = Lake(spark)
     lk.add_file(lk.add_table("t", [("id", "int64")]), spark.range(2))

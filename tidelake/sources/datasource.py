@@ -3,7 +3,8 @@
 Options: catalog, table, and as wanted schema, snapshot_id, as_of, data_path, prune, and storage options by
 their names with ``storage.`` before them. The snapshot is resolved once, when the frame is loaded. Rows come
 through Arrow, so `tidelake.scan` is the faster way; Spark does not tell such a source which columns are
-wanted, so all are read. With ``prune`` set to true, filters that Spark pushes rule out files
+wanted, so all are read. A registered path may be a folder of files, each of which is then read by a task of
+its own; paths must be such as Arrow opens. With ``prune`` set to true, filters that Spark pushes rule out files
 (``spark.sql.python.filterPushdown.enabled`` is needed too); Spark keeps a source's pushed filters for
 all uses of one loaded frame, so set it only where a frame is used with one condition.
 """
@@ -80,11 +81,15 @@ class LakeReader(DataSourceReader):
         with Catalog(self.catalog) as c:
             files, _ = layout.candidates(c, self.identity, self.clauses)
         full = lambda x: layout.full_path(self.identity, self.base, x.path, x.relative, paths.account(self.storage))
-        return [
-            FilePart(full(f), tuple(full(d) for d in f.deletes), g.file_columns, self.identity.snapshot if g.partial else None)
-            for g in layout.groups(self.identity, files, {})
-            for f in g.files
-        ]
+        below = _files([full(f) for f in files], self.storage)
+        parts = []
+        for g in layout.groups(self.identity, files, {}):
+            for f in g.files:
+                found = below[full(f)]
+                if f.deletes and len(found) > 1:
+                    raise ValueError(f"deleted places in {full(f)!r}, which is a folder of several files: its rows have no order")
+                parts += [FilePart(x, tuple(full(d) for d in f.deletes), g.file_columns, self.identity.snapshot if g.partial else None) for x in found]
+        return parts
 
     def read(self, partition: FilePart) -> Iterator[Any]:
         import numpy as np
@@ -125,7 +130,8 @@ class PruningReader(LakeReader):
         return filters  # all are applied to rows again
 
 
-def _open(pq: Any, path: str, storage: dict[str, str]) -> Any:
+def _place(path: str, storage: dict[str, str]) -> tuple[Any, str]:
+    """The file system of a path, and the path in it."""
     from pyarrow import fs
 
     if path.startswith(("s3a://", "s3://")) and storage:
@@ -133,11 +139,39 @@ def _open(pq: Any, path: str, storage: dict[str, str]) -> Any:
         given = {a: low[k] for k, a in _S3_OPTIONS.items() if k in low}
         if "aws_allow_http" in low:
             given["scheme"] = "http" if low["aws_allow_http"].lower() in ("true", "1") else "https"
-        return pq.ParquetFile(fs.S3FileSystem(**given).open_input_file(path.partition("://")[2]))
+        return fs.S3FileSystem(**given), path.partition("://")[2]
     if "://" in path or path.startswith("file:"):
-        store, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://"))
-        return pq.ParquetFile(store.open_input_file(inner))
-    return pq.ParquetFile(path)
+        return fs.FileSystem.from_uri(path.replace("s3a://", "s3://"))
+    return fs.LocalFileSystem(), path
+
+
+def _files(registered: list[str], storage: dict[str, str]) -> dict[str, list[str]]:
+    """The data files of each registered path: the path itself, or what lies below a folder, by name.
+
+    As Spark's readers do, names that begin with a dot or an underscore are passed over.
+    """
+    from pyarrow import fs
+
+    by_root: dict[str, list[str]] = {}
+    for path in dict.fromkeys(registered):
+        by_root.setdefault("/".join(path.split("/")[:3]) if "://" in path else path.partition("/")[0], []).append(path)
+    out = {}
+    for held in by_root.values():
+        store, inner = _place(held[0], storage)[0], [_place(p, storage)[1] for p in held]
+        for path, info in zip(held, store.get_file_info(inner)):
+            if info.type != fs.FileType.Directory:
+                out[path] = [path]
+                continue
+            root = info.path.rstrip("/")
+            names = sorted(x.path[len(root) :] for x in store.get_file_info(fs.FileSelector(root, recursive=True)) if x.type == fs.FileType.File)
+            shown = [n for n in names if not any(p.startswith(".") or (p.startswith("_") and "=" not in p) for p in n.split("/"))]
+            out[path] = [(root if isinstance(store, fs.LocalFileSystem) else path.rstrip("/")) + n for n in shown]
+    return out
+
+
+def _open(pq: Any, path: str, storage: dict[str, str]) -> Any:
+    store, inner = _place(path, storage)
+    return pq.ParquetFile(store.open_input_file(inner))
 
 
 #: Storage options by what Arrow's reader calls them. Fixed values.
