@@ -380,6 +380,25 @@ def test_a_leak_behind_decoys(spark):
     assert [(r.doc_id, r.item_id) for r in decontam.leaks(docs, items).collect()] == [(1, 1)]
 
 
+def test_all_documents_shape_the_latent_space(spark):
+    """More documents than a sample of 20,000 had: the space is that of a plain decomposition of all rows."""
+    rng = random.Random(4)
+    words, weights = ["a", "b", "c", "d", "e"], [9, 7, 5, 3, 2]
+    texts = [" ".join([f"u{i}", *rng.choices(words, weights, k=rng.randint(2, 6))]) for i in range(40_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "a a b")], "item_id long, text string")
+    (index,) = decontam.indexes(docs, items)
+    rows = np.zeros((len(texts) + 2, len(words)))
+    for x, t in zip(rows, [*texts, " ".join(words), "a a b"]):
+        for w in t.split():
+            if w.encode() in index.vocabulary:
+                x[index.vocabulary[w.encode()]] += index.idf[index.vocabulary[w.encode()]]
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    weight = np.array([1.0] * len(texts) + [len(texts) / 2 / 4] * 2)
+    _, axes = np.linalg.eigh(rows.T @ (rows * weight[:, None]))
+    assert np.abs(index.space.T @ axes[:, ::-1]) == pytest.approx(np.eye(len(words)), abs=1e-3)
+
+
 # -- 6 phrase fingerprints ------------------------------------------------------------------------
 
 

@@ -1,10 +1,9 @@
 """Operator 5: benchmark decontamination by latent semantic retrieval.
 
 1. Document frequencies of the benchmark's words are counted over all documents.
-2. A randomised SVD of TF-IDF passages (all benchmark items, and the windows of a bounded sample of
-   documents) gives the latent space: each task multiplies its passages with a random test matrix and
-   back, the products are summed, and the eigenvectors follow from the sum (Nystroem). The sample only
-   shapes the space; every document is searched.
+2. A randomised SVD of TF-IDF passages (all benchmark items, and the windows of all documents) gives the
+   latent space: each task multiplies its passages with a random test matrix and back, the products are
+   summed, and the eigenvectors follow from the sum (Nystroem).
 3. Every document's windows, in lengths that fit the items, are projected. Where a window's cosine to an
    item is at least `least_cosine`, the item is a candidate. Pairs of a window and an item are left out only
    where the surroundings hold fewer of the item's rarer words than step 4 needs; they could not pass it.
@@ -263,8 +262,8 @@ def _frequencies(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[np.ndar
     return out[:-1], int(out[-1])
 
 
-def latent_space(docs: DataFrame, index: Index, n_docs: int, rank: int, sample: int, seed: int = 20) -> np.ndarray:
-    """Word vectors of the latent space: randomised SVD of the TF-IDF rows of items and sampled documents."""
+def latent_space(docs: DataFrame, index: Index, n_docs: int, rank: int, seed: int = 20) -> np.ndarray:
+    """Word vectors of the latent space: randomised SVD of the TF-IDF rows of items and documents."""
     v = len(index.vocabulary)
     r = min(rank + 16, v)
     test = np.random.default_rng(seed).standard_normal((v, r)).astype(np.float32)
@@ -300,15 +299,15 @@ def latent_space(docs: DataFrame, index: Index, n_docs: int, rank: int, sample:
                 total += product(rows, ix.idf)
                 seen = True
         if seen:
-            at = np.flatnonzero(np.abs(total).sum(1))
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(list(total[at]), pa.list_(pa.float32()))], names=["term", "row"])
+            met = np.flatnonzero(np.abs(total).sum(1))
+            for k in range(0, len(met), 1 << 13):
+                at = met[k : k + (1 << 13)]
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(list(total[at]), pa.list_(pa.float32()))], names=["term", "row"])
 
-    part = 1.0 if n_docs <= sample else sample / n_docs
-    chosen = docs.select(docs["text"].cast("string").alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(part * (1 << 30)))
-    sums = chosen.mapInArrow(run, "term long, row array<float>").groupBy("term").agg(F.array(*[F.sum(F.col("row")[i]) for i in range(r)]).alias("row"))
+    sums = docs.select(docs["text"].cast("string").alias("text")).mapInArrow(run, "term long, row array<float>").groupBy("term").agg(F.array(*[F.sum(F.col("row")[i]) for i in range(r)]).alias("row"))
     items = [np.array(x[1]) for x in index.items if x[1]]
     y = product(items, index.idf).astype(float) if items else np.zeros((v, r))
-    scale = max(1.0, min(n_docs, sample) / max(1, len(items)) / 4)  # the items weigh as much as a part of the sample
+    scale = max(1.0, n_docs / max(1, len(items)) / 4)  # the items weigh as much as a part of the documents
     y *= scale
     for row in sums.toLocalIterator():
         y[row["term"]] += row["row"]
@@ -320,10 +319,10 @@ def latent_space(docs: DataFrame, index: Index, n_docs: int, rank: int, sample:
 
 
 def indexes(
-    docs: DataFrame, benchmark: DataFrame, rank: int = 64, sample: int = 20_000, block_bytes: int = 2 << 20,
+    docs: DataFrame, benchmark: DataFrame, rank: int = 64, block_bytes: int = 2 << 20,
     least_cosine: float = 0.35, share: float = 0.7, share_with_answer: float = 0.6, short: int = 8,
 ) -> Iterator[Index]:
-    """An index per block of the benchmark. sample: documents that shape the latent space, at most about."""
+    """An index per block of the benchmark."""
     bounded_batches(docs.sparkSession)
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -348,7 +347,7 @@ def indexes(
             sizes.append(sizes[-1] * 3 // 8 * 4)
         sizes = [s for below, s in itertools.pairwise([0, *sizes]) if any(below < len(x[1]) <= s for x in items)]
         index = Index(vocabulary, items, idf, np.zeros((0, 0)), np.zeros((0, 0)), tuple(sizes), least_cosine, share, share_with_answer, short)
-        space = latent_space(docs, index, n, rank, sample)
+        space = latent_space(docs, index, n, rank)
         index.space = space.astype(np.float32)
         latent = np.stack([(space[ids] * idf[ids][:, None]).sum(0) for _, ids, _ in items])
         index.latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
