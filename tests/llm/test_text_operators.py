@@ -614,6 +614,18 @@ def test_lm_candidates_met_once_in_each_block(spark):
     assert all(many[k] == pytest.approx(v, rel=1e-9) for k, v in one.items())
 
 
+def test_rare_phrases_of_a_large_text_are_in_the_tree(spark):
+    """Over 1.5 million tokens a phrase met a few times is in the tree, as among few."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices("a b c d e f g h i j".split(), k=60_000))) for i in range(30)]
+    rows += [(i, "red green blue sky over the sea") for i in [i for i in range(100, 200) if crc_mod(i, 10)][:5]]
+    want, _ = plain_tree(rows, 4)
+    got = lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert got[0].train_tokens > 1_300_000
+    for r in got:
+        assert r.score == pytest.approx(want[r.doc_id], rel=1e-9)
+
+
 # -- 9 shards -------------------------------------------------------------------------------------
 
 

@@ -1,9 +1,8 @@
 """Operator 7: language-model scores from a probabilistic suffix tree over words.
 
 Root: the training words' relative frequencies, with the share of words met once (Good-Turing) set aside
-for words not met. States: contexts of up to `ORDER` words. An n-gram is a candidate where it is frequent
-in some block of the training text; candidates are counted exactly over all training text, and those
-frequent over all make the tree. A context is kept if its next-word distribution diverges from its
+for words not met. States: contexts of up to `ORDER` words. All n-grams of the training text that are met
+`least` times or more make the tree, however large the corpus. A context is kept if its next-word distribution diverges from its
 shorter context's (count times Kullback-Leibler divergence of at least `divergence`). Distributions are
 smoothed by absolute discounting: what the discount frees goes to the longest kept suffix. A token is
 scored in the longest suffix state, falling back state by state.
@@ -11,9 +10,10 @@ scored in the longest suffix state, falling back state by state.
 Flow: texts are read in blocks of bounded size; a block's words get numbers of its own, so what is
 shuffled is one row per block and distinct word, and the texts as numbers. Counts go back to the blocks by
 word, and each block is scored where its numbers and its counts meet. A word has one row per block at most,
-so the commonest one's rows are fewer than a partition's share. The tree has at most
-ORDER / share nodes (each is that share of all tokens or more), which bounds what is broadcast; word
-counts, which grow with the corpus, never are.
+so the commonest one's rows are fewer than a partition's share. n-grams are counted order by order: one
+is counted if both its parts may be frequent, by a bit set of fixed size whose errors cost time only. The
+tree is a table by hash; blocks ask for the entries that their texts may need and get them by a join.
+What is broadcast (the bit sets) does not grow with the corpus.
 
 Defined results: a null text is empty and scored as its end alone; repeated rows are learned and scored
 once each; a null id counts as empty text for the fold; without training rows every score is 0; an empty
@@ -22,7 +22,6 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 from tidelake.llm._common import as_bytes, bounded_batches, crc_bucket, fewer, in_blocks, materialise
 
 ORDER = 3
-BLOOM_BITS = 25
+BLOOM_BITS = 27
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 #: The end of a text; no word is empty.
 END = b""
@@ -51,6 +50,13 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, 42)
 
 
+def joined(context: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+    """The hash of an n-gram from those of its two parts: without its last word, and without its first."""
+    mixed = context * _A
+    mixed ^= mixed >> np.uint64(29)
+    return ((mixed + shorter) * _B) | np.uint64(1)
+
+
 def gram_hashes(words: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
     """Hashes of the n-grams that end at each token, n from 1; zero where the text has no such n-gram.
 
@@ -59,9 +65,7 @@ def gram_hashes(words: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
     out = [words | np.uint64(1)]
     for n in range(2, ORDER + 2):
         h = np.zeros_like(words)
-        mixed = out[-1][:-1] * _A
-        mixed ^= mixed >> np.uint64(29)
-        h[1:] = ((mixed + words[1:]) * _B) | np.uint64(1)
+        h[1:] = joined(out[-1][:-1], out[-1][1:])
         h[place < n - 1] = 0
         out.append(h)
     return out
@@ -72,42 +76,13 @@ def places(lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
 
 
-def frequent(h: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes met at least `least` times, and where in h one of them stands."""
-    at = np.flatnonzero(h)
-    ordered = np.sort(h[at])
-    edges = np.flatnonzero(np.diff(ordered)) + 1
-    starts = np.concatenate([[0], edges]) if len(ordered) else edges
-    counts = np.diff(np.append(starts, len(ordered)))
-    good = ordered[starts[counts >= least]]
-    hit = np.zeros(len(h), bool)
-    if len(good):
-        i = np.searchsorted(good, h[at])
-        i[i == len(good)] = 0
-        hit[at] = good[i] == h[at]
-    return good, hit
-
-
-def candidates(words: np.ndarray, place: np.ndarray, least: int) -> np.ndarray:
-    """n-grams of every order that are frequent here; each's shorter parts are too."""
-    grams = gram_hashes(words, place)
-    found, live = [], np.ones(len(words), bool)
-    for n, h in enumerate(grams):
-        if n:
-            live &= np.append(False, live[:-1])  # the n-gram without its last word, and without its first
-        good, hit = frequent(np.where(live, h, np.uint64(0)), least)
-        found.append(good)
-        live = hit
-        if not len(good):
-            break
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
-
-
+#: Tokens whose n-grams are counted together, about.
+_COUNTED = 2_000_000
 _PARTS = "kind int, block long, doc_id long, held boolean, lid int, n long, data binary"
 
 
-def read_blocks(docs: DataFrame, block_bytes: int, share: float) -> DataFrame:
-    """kind 0: a text as numbers (n bytes each); 1: a block's word and its training count; 2: a candidate n-gram (n)."""
+def read_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """kind 0: a text as numbers (n bytes each); 1: a block's word and its training count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = [x.split()[0] for x in _PARTS.split(", ")], [pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.binary()]
@@ -128,12 +103,6 @@ def read_blocks(docs: DataFrame, block_bytes: int, share: float) -> DataFrame:
             for k in range(0, n, 50_000):
                 m = len(words[k : k + 50_000])
                 yield rows(m, kind=np.full(m, 1, np.int32), block=np.full(m, block), lid=np.arange(k, k + m, dtype=np.int32), n=met[k : k + m], data=words[k : k + m])
-            if len(ids):
-                # with fewer uses than that in every block, an n-gram has less than the share in all
-                hashes = np.fromiter(map(word_hash, words), np.uint64, n)
-                found = candidates(hashes[ids], places(np.fromiter(map(len, train), np.int64, len(train))), max(1, math.ceil(share * len(ids))))
-                if len(found):
-                    yield rows(len(found), kind=np.full(len(found), 2, np.int32), n=found.view(np.int64))
 
         for batch in in_blocks(batches, "text", min(block_bytes, 8 << 20)):
             block = block or (batch.column("part")[0].as_py() << 24) + 1
@@ -191,23 +160,32 @@ def in_bloom(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def bloom(found: DataFrame) -> np.ndarray:
-    """A bit set of fixed size (2 ** BLOOM_BITS) that holds all of column n; put together by words of 64 bits."""
+    """A bit set of fixed size (2 ** BLOOM_BITS) that holds all of column h; put together by words of 64 bits."""
     mask = (1 << BLOOM_BITS) - 1
-    bit = F.explode(F.array(F.shiftrightunsigned("n", 1).bitwiseAND(F.lit(mask)), F.shiftrightunsigned("n", 37).bitwiseAND(F.lit(mask)))).alias("bit")
-    words = found.select("n").distinct().select(bit).groupBy(F.shiftright("bit", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("w")).toArrow()
+    bit = F.explode(F.array(F.shiftrightunsigned("h", 1).bitwiseAND(F.lit(mask)), F.shiftrightunsigned("h", 37).bitwiseAND(F.lit(mask)))).alias("bit")
+    words = found.select(bit).groupBy(F.shiftright("bit", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("w")).toArrow()
     out = np.zeros(1 << (BLOOM_BITS - 6), np.uint64)
     out[words.column("at").to_numpy()] = words.column("w").to_numpy().view(np.uint64)
     return out
 
 
-def count_grams(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """Exact training counts of the n-grams in the bit set: h, order, context, shorter (without the first word), n."""
+def count_grams(docs: DataFrame, order: int, bits: np.ndarray) -> DataFrame:
+    """Exact training counts of the n-grams whose two parts are in the bit set: context, shorter (without the first word), n."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
+    def counted(rows: list[np.ndarray], lengths: list[int]) -> pa.RecordBatch:
+        grams = gram_hashes(np.concatenate(rows), places(np.array(lengths)))
+        h, part = grams[order - 1], grams[order - 2]
+        good = in_bloom(shared.value, part)
+        at = np.flatnonzero((h != 0) & good & np.append(False, good[:-1]))
+        _, first, counts = np.unique(h[at], return_index=True, return_counts=True)
+        at = at[first]
+        return pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (part[at - 1], part[at])), pa.array(counts)], names=["context", "shorter", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
+        rows, lengths, n = [], [], 0
         for batch in in_blocks(batches, "text", 12 << 20):
-            rows, lengths = [], []
             for text in as_bytes(batch.column("text")):
                 found = tokens(text)
                 hashes = list(map(known.get, found))
@@ -217,24 +195,61 @@ def count_grams(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                             hashes[i] = known.setdefault(found[i], word_hash(found[i]))
                 rows.append(np.array(hashes, np.uint64))
                 lengths.append(len(found))
+                n += len(found)
             if len(known) > 400_000:
                 known = {}
-            words = np.concatenate(rows)
-            grams = gram_hashes(words, places(np.array(lengths)))
-            for n, h in enumerate(grams):
-                at = np.flatnonzero(in_bloom(shared.value, h))
-                if not len(at):
-                    continue
-                keys, first, counts = np.unique(h[at], return_index=True, return_counts=True)
-                at = at[first]
-                context = grams[n - 1][at - 1] if n else np.zeros(len(at), np.uint64)
-                shorter = grams[n - 1][at] if n else np.zeros(len(at), np.uint64)
-                columns = [pa.array(x.view(np.int64)) for x in (keys, context, shorter)]
-                yield pa.RecordBatch.from_arrays([columns[0], pa.array(np.full(len(keys), n + 1, np.int32)), columns[1], columns[2], pa.array(counts)], names=["h", "order", "context", "shorter", "n"])
+            if n >= _COUNTED:
+                yield counted(rows, lengths)
+                rows, lengths, n = [], [], 0
+        if rows:
+            yield counted(rows, lengths)
 
     text = docs.where(crc_bucket("doc_id", 10) != 0).select(F.col("text").cast("string").alias("text"))
-    rows = text.mapInArrow(run, "h long, order int, context long, shorter long, n long")
-    return rows.groupBy("h").agg(F.first("order").alias("order"), F.first("context").alias("context"), F.first("shorter").alias("shorter"), F.sum("n").alias("n"))
+    return text.mapInArrow(run, "context long, shorter long, n long").groupBy("context", "shorter").agg(F.sum("n").alias("n"))
+
+
+def with_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        parts = (batch.column(c).to_numpy().view(np.uint64) for c in ("context", "shorter"))
+        yield pa.RecordBatch.from_arrays([pa.array(joined(*parts).view(np.int64)), *batch.columns], names=["h", *batch.schema.names])
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """Materialised; shuffle files of what is done go when the driver's garbage is collected, which is asked for here."""
+    out = materialise(df, tag)
+    jvm = getattr(getattr(df.sparkSession, "_sc", None), "_jvm", None)  # a client may have none
+    if jvm is not None:
+        jvm.System.gc()
+    return out
+
+
+def frequent_grams(docs: DataFrame, words: DataFrame, total: int, least: int) -> DataFrame:
+    """All n-grams met at least `least` times: h, context, shorter, n, up (the context's n), p (n / up). words: h, n of single words."""
+    last = words.where(F.col("n") >= least)
+    out = written(last.select("h", F.lit(None).cast("long").alias("context"), F.lit(None).cast("long").alias("shorter"), "n", F.lit(total).cast("long").alias("up")), "lm-grams-1")
+    last = out
+    for order in range(2, ORDER + 2):
+        found = count_grams(docs, order, bloom(last)).where(F.col("n") >= least).mapInArrow(with_hash, "h long, context long, shorter long, n long")
+        found = found.join(last.select(F.col("h").alias("context"), F.col("n").alias("up")), "context")
+        last = written(found.select("h", "context", "shorter", "n", "up"), f"lm-grams-{order}")
+        out = out.unionAll(last)
+    return out.withColumn("p", F.col("n") / F.col("up"))
+
+
+def tree_entries(grams: DataFrame, divergence: float, discount: float = 0.75) -> DataFrame:
+    """What `grow` keeps, as rows: kind 2, a context and the share left to its shorter one; 3, its n-grams and their probabilities."""
+    longer = grams.where("context is not null").select("h", "context", "shorter", "n", "up", "p")
+    longer = longer.join(grams.select(F.col("h").alias("shorter"), F.col("p").alias("low")), "shorter")
+    up, met = F.first("up"), F.sum("n")
+    sums = longer.groupBy("context").agg(
+        up.alias("up"), met.alias("met"), F.count("*").alias("followers"), F.sum("low").alias("low"), F.sum(F.col("p") * F.log(F.col("p") / F.greatest("low", F.lit(1e-12)))).alias("gain")
+    )
+    rest = F.greatest(F.col("up") - F.col("met"), F.lit(0)) / F.col("up")
+    more = F.when(rest > 0, rest * F.log(F.greatest(rest, F.lit(1e-12)) / F.greatest(1 - F.col("low"), F.lit(1e-12)))).otherwise(0.0)
+    kept = sums.where(F.col("up") * (F.col("gain") + more) >= divergence)
+    kept = written(kept.select("context", (1 - (F.col("met") - discount * F.col("followers")) / F.col("up")).alias("left")), "lm-contexts")
+    given = grams.where("context is not null").join(kept.select("context"), "context").select("h", F.lit(3).alias("kind"), ((F.col("n") - discount) / F.col("up")).alias("value"))
+    return written(kept.select(F.col("context").alias("h"), F.lit(2).alias("kind"), F.col("left").alias("value")).unionAll(given), "lm-tree")
 
 
 @dataclass
@@ -276,8 +291,20 @@ class Tree:
         return base, np.log10(p)
 
 
+def flags_of(*tables: np.ndarray) -> np.ndarray:
+    flags = np.zeros(1 << 22, bool)
+    for t in tables:
+        flags[(t >> np.uint64(20)).astype(np.int64) & (len(flags) - 1)] = True
+    return flags
+
+
+def set_aside(total: int, once: int) -> float:
+    """The share of words not met (Good-Turing)."""
+    return 1.0 if not total else float(np.clip((once + 0.5) / (total + 1), 1e-9, 0.5))
+
+
 def grow(grams: dict[str, np.ndarray], total: int, distinct: int, once: int, divergence: float, discount: float = 0.75) -> Tree:
-    """Keep contexts that diverge from their shorter ones."""
+    """Keep contexts that diverge from their shorter ones: the tree of a table that fits in memory."""
     order = np.argsort(grams["h"])
     h, n, context, shorter, count = (grams[k][order] for k in ("h", "order", "context", "shorter", "n"))
 
@@ -302,63 +329,104 @@ def grow(grams: dict[str, np.ndarray], total: int, distinct: int, once: int, div
     left = 1 - sums(given)
     grams_kept, order2 = h[rows[mine]], np.argsort(h[rows[mine]])
     tables = h[contexts[kept]], grams_kept[order2]
-    flags = np.zeros(1 << 22, bool)
-    for t in tables:
-        flags[(t >> np.uint64(20)).astype(np.int64) & (len(flags) - 1)] = True
-    unseen = 1.0 if not total else float(np.clip((once + 0.5) / (total + 1), 1e-9, 0.5))
-    return Tree(total, distinct, unseen, tables[0], left[kept], tables[1], given[mine][order2], flags)
-
+    flags = flags_of(*tables)
+    return Tree(total, distinct, set_aside(total, once), tables[0], left[kept], tables[1], given[mine][order2], flags)
+
+
+def texts_met(batches: Iterator[pa.RecordBatch]):
+    """Texts where they meet their block's rows: block, texts, hashes and counts of its words, entries of the tree by kind."""
+    block, h, c, held = None, np.zeros(0, np.uint64), np.zeros(0, np.int64), {}
+    for batch in in_blocks(batches, "data", 8 << 20):
+        blocks, kinds = batch.column("block").to_numpy(), batch.column("kind").to_numpy()
+        edges = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
+        for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(blocks)]):
+            part = batch.slice(lo, hi - lo)
+            if blocks[lo] != block:
+                block, h, c, held = blocks[lo], np.zeros(0, np.uint64), np.zeros(0, np.int64), {2: [], 3: []}
+            if kinds[lo] > 1:
+                held[kinds[lo]].append((part.column("h").to_numpy().view(np.uint64).copy(), part.column("value").to_numpy().copy()))
+            elif kinds[lo] == 1:
+                lid = part.column("lid").to_numpy()
+                size = int(lid.max()) + 1
+                if size > len(h):
+                    h, c = (np.append(x, np.zeros(size - len(x), x.dtype)) for x in (h, c))
+                h[lid], c[lid] = part.column("h").to_numpy().view(np.uint64), part.column("c").to_numpy()
+            else:
+                yield block, part, h, c, held
+
+
+def numbers_of(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The word numbers of texts in a row, and their lengths."""
+    data = part.column("data").to_pylist()
+    widths = part.column("c").to_numpy()
+    ids = np.concatenate([unpacked(b"".join(data[a:b]), int(widths[a])) for a, b in runs_of(widths)])
+    return ids, np.fromiter(map(len, data), np.int64, len(data)) // widths
+
+
+def wanted(met: DataFrame, bits: np.ndarray) -> DataFrame:
+    """block, h: the entries in the bit set that a block's texts need."""
+    shared = met.sparkSession.sparkContext.broadcast(bits)
 
-def score_texts(docs: DataFrame, share: float = 4e-6, least: int = 4, divergence: float = 8.0, block_bytes: int = 14 << 20) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, part, h, _, _ in texts_met(batches):
+            ids, lengths = numbers_of(part)
+            place = places(lengths)
+            grams, found = gram_hashes(h[ids], place), []
+            for n in range(ORDER):
+                context = np.append(np.uint64(0), grams[n][:-1])
+                context[place == 0] = 0
+                at = np.flatnonzero(in_bloom(shared.value, context))
+                longer = grams[n + 1][at]
+                found += [context[at], longer[in_bloom(shared.value, longer)]]
+            keys = np.unique(np.concatenate(found))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block)), pa.array(keys.view(np.int64))], names=["block", "h"])
+
+    return met.mapInArrow(run, "block long, h long")
+
+
+def score_texts(docs: DataFrame, least: int = 4, divergence: float = 8.0, block_bytes: int = 14 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
-    share: n-grams below this share of the training tokens, or met fewer than `least` times, are not in the tree.
+    least: n-grams met fewer times are not in the tree.
     """
     spark = docs.sparkSession
-    parts = read_blocks(docs, block_bytes, share)
+    parts = read_blocks(docs, block_bytes)
     # a word's count goes to every block that has it; one shuffle by word does the sum and the way back
     every = Window.partitionBy("data")
     vocabulary = parts.where("kind = 1").select("block", "lid", "data", "n")
     vocabulary = vocabulary.withColumn("c", F.sum("n").over(every)).withColumn("head", F.row_number().over(every.orderBy("block")) == 1)
-    counts = materialise(vocabulary.select("block", "lid", "c", F.xxhash64("data").alias("h"), "head"), "lm-counts")
+    counts = written(vocabulary.select("block", "lid", "c", F.xxhash64("data").alias("h"), "head"), "lm-counts")
     met = F.when(F.col("c") > 0, 1)
     total, distinct, once = (int(x or 0) for x in counts.where("head").agg(F.sum("c"), F.count(met), F.count(F.when(F.col("c") == 1, 1))).first())
-    grams = count_grams(docs, bloom(parts.where("kind = 2"))).where(F.col("n") >= max(least, math.ceil(share * total))).toArrow()
-    as_u64 = lambda c: grams.column(c).to_numpy().view(np.uint64)
-    model = grow({"h": as_u64("h"), "order": grams.column("order").to_numpy(), "context": as_u64("context"), "shorter": as_u64("shorter"), "n": grams.column("n").to_numpy()}, total, distinct, once, divergence)
-    shared = spark.sparkContext.broadcast(model)
+    words = counts.where("head").select(F.col("h").bitwiseOR(F.lit(1)).alias("h"), F.col("c").alias("n")).groupBy("h").agg(F.sum("n").alias("n"))
+    entries = tree_entries(frequent_grams(docs, words, total, least), divergence)
+    unseen = set_aside(total, once)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
-        block, h, c = None, np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for batch in in_blocks(batches, "data", 8 << 20):
-            blocks, kinds = batch.column("block").to_numpy(), batch.column("kind").to_numpy()
-            edges = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
-            for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(blocks)]):
-                part = batch.slice(lo, hi - lo)
-                if kinds[lo] == 1:
-                    if blocks[lo] != block:
-                        block, h, c = blocks[lo], np.zeros(0, np.uint64), np.zeros(0, np.int64)
-                    lid = part.column("lid").to_numpy()
-                    size = int(lid.max()) + 1
-                    if size > len(h):
-                        h, c = (np.append(x, np.zeros(size - len(x), x.dtype)) for x in (h, c))
-                    h[lid], c[lid] = part.column("h").to_numpy().view(np.uint64), part.column("c").to_numpy()
-                    continue
-                data = part.column("data").to_pylist()
-                widths = part.column("c").to_numpy()
-                lengths = np.fromiter(map(len, data), np.int64, len(data)) // widths
-                ids = np.concatenate([unpacked(b"".join(data[a:b]), int(widths[a])) for a, b in runs_of(widths)])
-                met = c[ids]
-                base, own = tree.score(h[ids], places(lengths), met)
-                starts = np.cumsum(lengths) - lengths
-                sums = [np.add.reduceat(x, starts) for x in ((met > 0).astype(np.int64), base, own)]
-                columns = [part.column("doc_id"), part.column("held"), pa.array(lengths.astype(np.int64)), pa.array(sums[0]), pa.array(np.full(len(data), tree.total)), pa.array(sums[1]), pa.array(sums[2])]
-                yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SCHEMA.split(", ")])
-
-    text = parts.where("kind = 0").select("block", F.lit(0).alias("kind"), "doc_id", "held", F.lit(0).alias("lid"), F.col("n").alias("c"), F.lit(0).cast("long").alias("h"), "data")
-    words = counts.select("block", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("held"), "lid", "c", "h", F.lit(None).cast("binary").alias("data"))
+    null = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    text = parts.where("kind = 0").select("block", F.lit(0).alias("kind"), "doc_id", "held", F.lit(0).alias("lid"), F.col("n").alias("c"), F.lit(0).cast("long").alias("h"), null("value", "double"), "data")
+    words = counts.select("block", F.lit(1).alias("kind"), null("doc_id", "long"), null("held", "boolean"), "lid", "c", "h", null("value", "double"), null("data", "binary"))
     # blocks are numbered from the reading task's number << 24: dealing by that number keeps tasks even
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = words.unionAll(text).repartitionById(n, F.pmod(F.shiftright("block", 24), F.lit(n)).cast("int")).sortWithinPartitions("block", F.desc("kind"))
-    return met.mapInArrow(run, SCHEMA)
+    meet = lambda rows: rows.repartitionById(n, F.pmod(F.shiftright("block", 24), F.lit(n)).cast("int")).sortWithinPartitions("block", F.desc("kind"))
+    got = written(wanted(meet(words.unionAll(text)), bloom(entries)).join(entries, "h").select("block", "kind", "h", "value"), "lm-entries")
+    got = got.select("block", "kind", null("doc_id", "long"), null("held", "boolean"), null("lid", "int"), null("c", "long"), "h", "value", null("data", "binary"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = tree = None
+        for block, part, h, c, held in texts_met(batches):
+            if block != last:
+                tables = []
+                for kind in (2, 3):
+                    keys, values = (np.concatenate([x[i] for x in held[kind]] or [np.zeros(0, t)]) for i, t in enumerate((np.uint64, np.float64)))
+                    order = np.argsort(keys)
+                    tables += [keys[order], values[order]]
+                last, tree = block, Tree(total, distinct, unseen, *tables, flags_of(tables[0], tables[2]))
+            ids, lengths = numbers_of(part)
+            known = c[ids]
+            base, own = tree.score(h[ids], places(lengths), known)
+            starts = np.cumsum(lengths) - lengths
+            sums = [np.add.reduceat(x, starts) for x in ((known > 0).astype(np.int64), base, own)]
+            columns = [part.column("doc_id"), part.column("held"), pa.array(lengths.astype(np.int64)), pa.array(sums[0]), pa.array(np.full(len(lengths), total)), pa.array(sums[1]), pa.array(sums[2])]
+            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SCHEMA.split(", ")])
+
+    return meet(got.unionAll(words).unionAll(text)).mapInArrow(run, SCHEMA)
