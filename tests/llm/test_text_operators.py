@@ -643,6 +643,27 @@ def test_rare_phrases_of_a_large_text_are_in_the_tree(spark):
 # -- 9 shards -------------------------------------------------------------------------------------
 
 
+def test_texts_encoded_together_and_byte_one():
+    """A batch gives what the library gives for each text; byte 1, which marks units inside, is text like any other."""
+    texts = [b"", b"a \x01b", b"\x01", b"one, two.\nthree", b"  loose", b"one", b"a \x01, b", "d\u00e9j\u00e0 vu, (486)\nA.".encode(), b", b", b"tail "]
+    for name, spaces in ((BYTE_BPE, True), (WORD_BPE, False)):
+        e = Encoder(tokenizer_path(name), spaces)
+        assert e.encode_all(texts) == [e.encode(x) for x in texts] == [e.whole(x) for x in texts]
+
+
+def test_pairs_are_grouped_alike_in_one_number_and_by_sorting_places():
+    """Symbols past 16 bits go the fast way too; those that do not fit in 64 bits with their place go the other."""
+    rng = np.random.default_rng(3)
+    left, right = (rng.integers(0, 100_000, 5000).astype(np.uint32) % 90 + 70_000 for _ in range(2))
+    at = np.sort(rng.choice(1 << 20, 5000, replace=False))
+    fast, slow = (repair._grouped(left, right, at, half, low) for half, low in ((17, 21), (32, 21)))
+    assert (fast[1] == slow[1]).all() and (fast[0] >> np.uint64(17) == slow[0] >> np.uint64(32)).all() and fast[1].tolist() != at.tolist()
+    # runs of one symbol: every second place of each is replaced
+    symbols = np.array([*[1] * 7, 2, *[1] * 4, 3, *[1] * 5, 0], np.uint32)
+    left_over, rules, _ = repair.replace_pairs(symbols, 4, 6)
+    assert rules.tolist() == [[1, 1]] and left_over.tolist() == [4, 4, 4, 1, 2, 4, 4, 3, 4, 4, 1, 0]
+
+
 def test_shards_round_trip(docs, texts, tmp_path):
     e = Encoder(tokenizer_path(BYTE_BPE), True)
     shards = repair.write_shards(docs, shard_tokens=20_000)
