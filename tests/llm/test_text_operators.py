@@ -618,6 +618,22 @@ def test_lm_numbers_of_any_width():
     assert lm.runs_of(np.array([3, 3, 4, 3])) == [(0, 2), (2, 3), (3, 4)] and lm.unpacked(np.array([2**30], "<i4").tobytes(), 4)[0] == 2**30
 
 
+def test_lm_counts_go_packed_and_come_back_without_hashes():
+    """What fills the disk: n-grams as differences of hashes, answers as a number for each that was sent."""
+    rng = np.random.default_rng(1)
+    keys = lm.distinct(rng.integers(0, 1 << 63, 20_000).astype(np.uint64) << np.uint64(1))
+    assert (lm.hashes(lm.packed_hashes(keys)) == keys).all() and len(lm.packed_hashes(keys)) < 8 * len(keys)
+    assert (lm.hashes(lm.packed_hashes(keys[:1])) == keys[:1]).all() and len(lm.hashes(lm.packed_hashes(keys[:0]))) == 0
+    counts = rng.integers(0, 3, len(keys))
+    assert (lm.numbers(lm.packed(counts)) == counts).all()
+    sent = [(b, lm.bound(lm.packed_hashes(k), lm.packed(n))) for b, k, n in ((1, keys, counts), (2, keys[::2], 2 * counts[::2]))]
+    one, two = (lm.numbers(x) for _, x in lm.add_grams(sent, 4))
+    total = counts + 2 * np.where(np.arange(len(keys)) % 2 == 0, counts, 0)
+    assert (one >> 1 == np.where(total >= 4, total, 0)).all() and (two >> 1 == (one >> 1)[::2]).all()
+    assert ((one & 1) == (one > 0)).all() and not (two & 1).any()  # the first that met an n-gram owns it
+    assert sum(map(len, (lm.packed(one), lm.packed(two)))) < 2 * len(keys)
+
+
 def test_lm_candidates_met_once_in_each_block(spark):
     """A phrase that no block holds twice is in the tree all the same."""
     rng = random.Random(2)
